@@ -41,8 +41,9 @@ def u32(*parts) -> Column:
     digits read as an integer), which is what lets the sampling operators be
     reproduced outside Spark.
     """
-    text = F.concat_ws("|", *[(p if isinstance(p, Column) else F.lit(p)).cast("string")
-                              for p in parts])
+    cols = [F.col(p) if isinstance(p, str) else p if isinstance(p, Column) else F.lit(p)
+            for p in parts]  # strings name columns; wrap literal text in F.lit
+    text = F.concat_ws("|", *[c.cast("string") for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
@@ -67,6 +68,11 @@ def safe_div(num, den) -> Column:
 
 def dense_index(df: DataFrame, order_cols: list[str], out: str = "pos",
                 num_partitions: int | None = None) -> DataFrame:
+    return dense_index_total(df, order_cols, out, num_partitions)[0]
+
+
+def dense_index_total(df: DataFrame, order_cols: list[str], out: str = "pos",
+                      num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """0-based position of every row in the total order of ``order_cols``.
 
     Built without a single-task sort: the rows are range-partitioned, sorted
@@ -89,7 +95,7 @@ def dense_index(df: DataFrame, order_cols: list[str], out: str = "pos",
         offsets.append(acc)
         acc += sizes.get(pid, 0)
     if not offsets:
-        return ranged.drop("_pid", "_loc").withColumn(out, F.lit(None).cast("bigint"))
+        return ranged.drop("_pid", "_loc").withColumn(out, F.lit(None).cast("bigint")), 0
     table = F.array(*[F.lit(o).cast("bigint") for o in offsets])
     return (ranged.withColumn(out, F.element_at(table, F.col("_pid") + 1) + F.col("_loc"))
-                  .drop("_pid", "_loc"))
+                  .drop("_pid", "_loc")), acc
