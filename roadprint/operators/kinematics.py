@@ -69,22 +69,58 @@ def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
     speed (null for the last ``order - 1`` rows, all null for shorter trips),
     and ``a``, ``jerk`` and ``cent_acc`` follow from it; ``ang_vel`` and
     ``tan_acc`` keep every row.  ``step_no`` is the 1-based row in the trip.
+
+    Plan: one Window operator fetches the neighbouring points (x, y up to
+    three rows back, and ``order - 1`` rows ahead when smoothed; theta two
+    rows back); one code-generated projection then computes every series.
+    ``v`` of row i-1 is recomputed from the same two points that row i-1
+    used, so the values equal the chained form (lag of v, lag of a) exactly.
     """
     keys = keys or KEYS
     w = trip_window(keys)
-    df = polar(steps).withColumn("step_no", F.row_number().over(w).cast("bigint"))
-    df = speed(df, keys)
+    ahead = order - 1 if smoothed else 0
+    nb = {"step_no": F.row_number().over(w).cast("bigint")}
+    for k in range(1, 4):
+        nb[f"_x_m{k}"], nb[f"_y_m{k}"] = lag0("x", w, k), lag0("y", w, k)
+    for k in range(1, 3):
+        nb[f"_t_m{k}"] = lag0("theta", w, k)
+    for k in range(1, ahead + 1):
+        nb[f"_x_p{k}"], nb[f"_y_p{k}"] = F.lead("x", k).over(w), F.lead("y", k).over(w)
+    df = polar(steps).select("*", *[c.alias(n) for n, c in nb.items()])
+
+    def pt(j):
+        if j == 0:
+            return F.col("x"), F.col("y")
+        tag = f"m{-j}" if j < 0 else f"p{j}"
+        return F.col(f"_x_{tag}"), F.col(f"_y_{tag}")
+
+    def speed_at(j):  # displacement from row j-1 to row j, relative to the current row
+        (x1, y1), (x0, y0) = pt(j), pt(j - 1)
+        dx, dy = x1 - x0, y1 - y0
+        return F.sqrt(dx * dx + dy * dy)
+
     if smoothed:
-        df = moving_average(df.withColumnRenamed("v", "v_raw"), "v_raw", order, keys, out="v")
-        df = df.drop("v_raw")
-    v, r = F.col("v"), F.col("r")
-    ang = F.col("theta") - lag0("theta", w)
+        def ma(j):  # forward moving average starting at relative row j
+            total = speed_at(j)
+            for k in range(1, order):
+                total = total + speed_at(j + k)
+            return total / float(order)
+        no = F.col("step_no")
+        v0 = ma(0)
+        v1 = F.when(no > 1, ma(-1)).otherwise(F.lit(0.0))
+        v2 = F.when(no > 2, ma(-2)).otherwise(F.lit(0.0))
+    else:
+        v0, v1, v2 = speed_at(0), speed_at(-1), speed_at(-2)
+    a0, a1 = v0 - v1, v1 - v2
+    t0, t1, t2 = F.col("theta"), F.col("_t_m1"), F.col("_t_m2")
+    ang0, ang1 = t0 - t1, t1 - t2
     if wrap:
-        ang = _wrap_angle(ang)
-    df = (df.withColumn("a", v - lag0("v", w))
-            .withColumn("cent_acc", F.when(r == 0, F.lit(0.0)).otherwise(v * v / r))
-            .withColumn("ang_vel", ang))
-    df = (df.withColumn("tan_acc", F.col("ang_vel") - lag0("ang_vel", w))
-            .withColumn("jerk", F.col("a") - lag0("a", w)))
+        ang0, ang1 = _wrap_angle(ang0), _wrap_angle(ang1)
+    r = F.col("r")
     extra = [c for c in steps.columns if c not in set(keys) | {"step", "x", "y"}]
-    return df.select(*keys, "step", "step_no", "x", "y", *KINEMATIC_COLUMNS, *extra)
+    return df.select(
+        *keys, "step", "step_no", "x", "y", "r", "theta",
+        v0.alias("v"), a0.alias("a"),
+        F.when(r == 0, F.lit(0.0)).otherwise(v0 * v0 / r).alias("cent_acc"),
+        ang0.alias("ang_vel"), (ang0 - ang1).alias("tan_acc"), (a0 - a1).alias("jerk"),
+        *extra)

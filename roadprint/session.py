@@ -27,6 +27,9 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Trip aggregates read the trip-sorted window output: a sort aggregate
+        # streams one trip at a time instead of hashing (and spilling) them all.
+        .config("spark.sql.execution.useObjectHashAggregateExec", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
