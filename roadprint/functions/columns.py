@@ -78,17 +78,21 @@ def dense_index_total(df: DataFrame, order_cols: list[str], out: str = "pos",
     Built without a single-task sort: the rows are range-partitioned, sorted
     inside each partition, numbered locally, and shifted by the sizes of the
     earlier partitions.  Only one number per partition reaches the driver.
-    The numbered table is checkpointed to the shared folder so that both
-    passes see the same range bounds, and a lost executor recomputes nothing.
+    The numbered rows are written once as a table in the shared folder, so
+    both passes see the same range bounds and a lost executor recomputes
+    nothing upstream.  Returns the indexed rows and the total row count.
     """
+    from roadprint.session import shared_dir
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_loc", F.monotonically_increasing_id()
-                            - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    ranged = ranged.checkpoint(eager=True)
+    path = shared_dir(spark, "dense-index")
+    (df.repartitionByRange(n, *order_cols)
+       .sortWithinPartitions(*order_cols)
+       .withColumn("_pid", F.spark_partition_id())
+       .withColumn("_loc", F.monotonically_increasing_id()
+                   - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+       .write.parquet(path))
+    ranged = spark.read.parquet(path)
     sizes = dict(ranged.groupBy("_pid").count().collect())
     offsets, acc = [], 0
     for pid in range(max(sizes, default=-1) + 1):

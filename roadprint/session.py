@@ -58,3 +58,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared (checkpoint) folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet in the shared folder and read it back.
+
+    Cuts the lineage (many jobs reuse the result, a lost executor recomputes
+    nothing upstream) with a single job, unlike an uncached ``checkpoint()``
+    which computes its input twice.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

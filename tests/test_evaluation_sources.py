@@ -1,0 +1,70 @@
+"""Metrics on a hand-made prediction table; file sources and sinks round trips."""
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from roadprint.functions.columns import ratio2
+from roadprint.operators import assembly, evaluation
+from roadprint.session import shared_dir
+from roadprint.sources import files, testdata
+
+
+def test_metrics_counts_and_rounding(spark):
+    # 200 rows: 120 positives (TP 100, FN 20), 80 negatives (FP 17, TN 63)
+    rows = ([(1, 1.0, 1.0)] * 100 + [(1, 1.0, 0.0)] * 20 + [(1, 0.0, 1.0)] * 17
+            + [(1, 0.0, 0.0)] * 63)
+    df = spark.createDataFrame(rows, "g long, label double, prediction double")
+    m = evaluation.classification_metrics(df, ["g"]).collect()[0]
+    assert (m["positive_count"], m["negative_count"], m["fp_count"], m["fn_count"]) == (120, 80, 17, 20)
+    assert m["accuracy"] == 0.82          # 163 / 200 = 0.815 -> half up
+    assert m["precision"] == 0.85         # 100 / 117 = 0.8547
+    assert m["recall"] == 0.83            # 100 / 120 = 0.8333
+    e = evaluation.error_rate(df, ["g"]).collect()[0]
+    assert abs(e["error_rate"] - 37 / 200) < 1e-12
+
+
+def test_ratio2_is_exact_half_up(spark):
+    df = spark.createDataFrame([(57, 200), (1, 8), (0, 0), (2, 3)], "a long, b long")
+    got = [r[0] for r in df.select(ratio2("a", "b")).collect()]
+    assert got == [0.29, 0.13, None, 0.67]
+
+
+def test_metrics_record_has_both_splits(spark):
+    rows = [(7, "train", 1.0, 1.0), (7, "train", 0.0, 1.0), (7, "test", 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "driver long, split string, label double, prediction double")
+    df = df.withColumn("version", F.lit(1.0)).withColumn("num_trees", F.lit(5)) \
+           .withColumn("heldout_set", F.lit(0))
+    r = evaluation.metrics_record(df).collect()[0]
+    assert r["train_fp_count"] == 1 and r["test_fn_count"] == 1 and r["test_accuracy"] == 0.0
+    path = shared_dir(spark, "metrics-test")
+    files.write_metrics(evaluation.metrics_record(df), path, fmt="csv")
+    files.write_metrics(evaluation.metrics_record(df), path, fmt="csv")
+    back = files.read_metrics(spark, path, fmt="csv")
+    assert back.count() == 2 and back.columns == files.METRIC_COLUMNS
+
+
+def test_csv_and_json_round_trips(spark):
+    st = testdata.events_steps(spark, SF_SMALL)
+    p = shared_dir(spark, "csv-test")
+    files.write_steps_csv(st, p)
+    back = files.read_steps_csv(spark, p)
+    assert back.count() == st.count()
+    steps = files.csv_to_steps(files.read_steps_csv(spark, p, raw=True), label=1.0)
+    assert dict(steps.dtypes)["step"] == "double" and steps.where("label = 1.0").count() == st.count()
+    j = shared_dir(spark, "json-test")
+    files.write_trips_json(assembly.trip_vectors(st), j)
+    again = assembly.explode_trips(files.read_trips_json(spark, j)).select("driver", "trip", "step", "x", "y")
+    assert again.exceptAll(st).count() == 0 and st.exceptAll(again).count() == 0
+
+
+def test_catalogue_from_file_names(spark):
+    base = shared_dir(spark, "drivers")
+    st = testdata.events_steps(spark, SF_SMALL)
+    for d in (3, 11):
+        files.write_steps_csv(st.where(F.col("driver") == d), f"{base}/driver_{d}.csv")
+    # Spark writes part files inside each driver_<id>.csv folder: the id is the folder's digits
+    cat = files.catalogue_from_files(spark, f"{base}/*/*.csv", use_parent=True)
+    assert sorted(r["driver"] for r in cat.collect()) == ["11", "3"]
+    paths = files.driver_csv_paths(base, [11, 3, 3])
+    assert paths == [f"{base}/driver_11.csv", f"{base}/driver_3.csv"]
+    assert files.read_steps_csv(spark, paths).select("driverID").distinct().count() == 2
