@@ -105,12 +105,47 @@ def trip_features(kin: DataFrame, names: list[str], keys=None, approx: bool = Fa
     return out.select(*keys, *cols, *(["label"] if has_label else []))
 
 
+def trip_features_ranked(kin: DataFrame, names: list[str], keys=None) -> DataFrame:
+    """Same features as ``trip_features`` for hot trips: every aggregate is partial-
+    aggregation friendly and the percentiles come from a distributed rank."""
+    from roadprint.operators.segments import ranked_percentiles
+    keys = keys or KEYS
+    base = _base_aggs()
+    aggs = [base[n].alias(n) for n in BASE_FEATURES if n in names]
+    if "label" in kin.columns:
+        aggs.append(F.max("label").alias("label"))
+    out = kin.groupBy(*keys).agg(*aggs) if aggs else kin.select(*keys).distinct()
+    pct = [n for n in names if n not in base]
+    if pct:
+        out = out.join(ranked_percentiles(kin, pct, keys), keys, "left")
+    return out.select(*keys, *names, *(["label"] if "label" in kin.columns else []))
+
+
 def features_for_version(steps: DataFrame, version: int, keys=None, order: int = MA_ORDER,
-                         approx: bool = False) -> DataFrame:
-    """Model-version vectors 1-4 straight from steps."""
+                         approx: bool = False, hot_rows: int | None = None,
+                         segment_rows: int | None = None) -> DataFrame:
+    """Model-version vectors 1-4 straight from steps.
+
+    ``hot_rows``: trips with more rows take the segmented path (no trip in one task).
+    """
     smoothed, names = VERSIONS[version]
-    return trip_features(kinematics(steps, smoothed=smoothed, order=order, keys=keys),
-                         names, keys, approx=approx)
+    return features_from_steps(steps, names, smoothed, keys, order, approx, hot_rows, segment_rows)
+
+
+def features_from_steps(steps: DataFrame, names: list[str], smoothed: bool = False, keys=None,
+                        order: int = MA_ORDER, approx: bool = False, hot_rows: int | None = None,
+                        segment_rows: int | None = None) -> DataFrame:
+    keys = keys or KEYS
+    if hot_rows is None:
+        return trip_features(kinematics(steps, smoothed=smoothed, order=order, keys=keys),
+                             names, keys, approx=approx)
+    from roadprint.operators import segments
+    normal, hot = segments.split_hot(steps, hot_rows, keys)
+    a = trip_features(kinematics(normal, smoothed=smoothed, order=order, keys=keys), names, keys,
+                      approx=approx)
+    kin_hot = segments.segmented_kinematics(hot, smoothed, order, False, keys,
+                                            segment_rows or segments.SEGMENT_ROWS)
+    return a.unionByName(trip_features_ranked(kin_hot, names, keys))
 
 
 def features_vector(steps: DataFrame, vector: str, smoothed: bool = False, keys=None) -> DataFrame:

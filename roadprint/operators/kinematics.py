@@ -62,7 +62,8 @@ def _wrap_angle(c):
 
 
 def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
-               wrap: bool = False, keys=None) -> DataFrame:
+               wrap: bool = False, keys=None, hot_rows: int | None = None,
+               segment_rows: int | None = None) -> DataFrame:
     """K12 (raw) or K11 (smoothed): r, theta, v, a, cent_acc, ang_vel, tan_acc, jerk.
 
     Smoothed: ``v`` is the order-``order`` forward moving average of the raw
@@ -75,18 +76,33 @@ def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
     rows back); one code-generated projection then computes every series.
     ``v`` of row i-1 is recomputed from the same two points that row i-1
     used, so the values equal the chained form (lag of v, lag of a) exactly.
+
+    ``hot_rows``: trips with more rows are not sent to one task; they are cut
+    into row segments with halos (see ``operators.segments``).
     """
     keys = keys or KEYS
+    if hot_rows is not None:
+        from roadprint.operators import segments
+        return segments.split_kinematics(steps, smoothed, order, wrap, keys, hot_rows,
+                                         segment_rows)
     w = trip_window(keys)
+    df = steps.withColumn("step_no", F.row_number().over(w).cast("bigint"))
+    return kinematics_frame(df, w, smoothed, order, wrap, keys,
+                            [c for c in steps.columns if c not in set(keys) | {"step", "x", "y"}])
+
+
+def kinematics_frame(df: DataFrame, w, smoothed: bool, order: int, wrap: bool, keys,
+                     extra) -> DataFrame:
+    """The kinematics projection over window ``w``; ``df`` already has ``step_no``."""
     ahead = order - 1 if smoothed else 0
-    nb = {"step_no": F.row_number().over(w).cast("bigint")}
+    nb = {}
     for k in range(1, 4):
         nb[f"_x_m{k}"], nb[f"_y_m{k}"] = lag0("x", w, k), lag0("y", w, k)
     for k in range(1, 3):
         nb[f"_t_m{k}"] = lag0("theta", w, k)
     for k in range(1, ahead + 1):
         nb[f"_x_p{k}"], nb[f"_y_p{k}"] = F.lead("x", k).over(w), F.lead("y", k).over(w)
-    df = polar(steps).select("*", *[c.alias(n) for n, c in nb.items()])
+    df = polar(df).select("*", *[c.alias(n) for n, c in nb.items()])
 
     def pt(j):
         if j == 0:
@@ -117,7 +133,6 @@ def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
     if wrap:
         ang0, ang1 = _wrap_angle(ang0), _wrap_angle(ang1)
     r = F.col("r")
-    extra = [c for c in steps.columns if c not in set(keys) | {"step", "x", "y"}]
     return df.select(
         *keys, "step", "step_no", "x", "y", "r", "theta",
         v0.alias("v"), a0.alias("a"),

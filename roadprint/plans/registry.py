@@ -391,6 +391,30 @@ _feat_query("features_90", features.F90)
 _feat_query("accel_first_second", ["a_first", "a_second"])
 _feat_query("features_v4_lineitem", features.V2, smoothed=True, adapter="lineitem")
 
+# The hot-trip path (segments with halos, ranked percentiles) with thresholds low
+# enough that part of the test trips take it; its oracle is the one-window SQL.
+SPLIT_HOT_ROWS, SPLIT_SEGMENT_ROWS = 60, 12
+
+
+def _split_query(name, names, smoothed, adapter):
+    def fn(spark, sf_dir):
+        st = steps(spark, sf_dir, adapter)
+        return final(features.features_from_steps(st, names, smoothed, hot_rows=SPLIT_HOT_ROWS,
+                                                  segment_rows=SPLIT_SEGMENT_ROWS))
+    query(name, O.features_query(names, smoothed, adapter))(fn)
+
+
+_split_query("features_v2_split_lineitem", features.V2, False, "lineitem")
+_split_query("features_v4_split_lineitem", features.V2, True, "lineitem")
+
+
+@query("kinematics_split_lineitem", _with(O.steps_cte("lineitem"), O.kin_ctes(True)) +
+       f"SELECT {STEP_KEYS}, " + ", ".join(O.q(c) for c in KIN_COLS) + " FROM kin")
+def kinematics_split_lineitem(spark, sf_dir):
+    k = kinematics.kinematics(steps(spark, sf_dir, "lineitem"), smoothed=True,
+                              hot_rows=SPLIT_HOT_ROWS, segment_rows=SPLIT_SEGMENT_ROWS)
+    return final(k.select("driver", "trip", "step", *KIN_COLS))
+
 
 # ---------------------------------------------------------------- events V1-V8
 
