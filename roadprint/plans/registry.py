@@ -577,15 +577,23 @@ def logistic_fit_score(spark, sf_dir):
 
 def gbt_sweep_records(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.GBT_TREES),
                       parallel: int = 4) -> DataFrame:
-    """Versions x tree counts, fits run concurrently from a thread pool."""
+    """Versions x tree counts.  Each version's training set is built and written
+    once; the fits of the grid run concurrently from a thread pool."""
+    from roadprint.session import materialize
+    sets = {}
+    for v in versions:
+        data, names = _target_set(spark, sf_dir, v)
+        sets[v] = (materialize(data, f"sweep-v{v}"), names)
+
     def one(args):
         v, n = args
-        data, names = _target_set(spark, sf_dir, v)
-        scored = models.fit_score(data, names, models.gbt_pipeline(n))
-        rec = (scored.withColumn("version", F.lit(float(v))).withColumn("num_trees", F.lit(n))
+        data, names = sets[v]
+        scored = models.fit_score(data, names, models.gbt_pipeline(n),
+                                  keep=("target", "driver", "trip"))
+        rec = (scored.drop("driver").withColumnRenamed("target", "driver")
+               .withColumn("version", F.lit(float(v))).withColumn("num_trees", F.lit(n))
                .withColumn("heldout_set", F.lit(0)))
-        rec = evaluation.metrics_record(rec)
-        return spark.createDataFrame(rec.collect(), rec.schema)  # one small row per model
+        return materialize(evaluation.metrics_record(rec), "sweep-record")
     grid = [(v, n) for v in versions for n in trees]
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         parts = list(pool.map(one, grid))
