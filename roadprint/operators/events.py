@@ -27,6 +27,11 @@ def accel_events(kin: DataFrame, keys=None) -> DataFrame:
     k = k.withColumn("_chg", F.when(prev.isNull() | (prev != F.col("sign")), 1).otherwise(0))
     k = k.withColumn("event_no", F.sum("_chg").over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint"))
+    return summarise_events(k, keys)
+
+
+def summarise_events(k: DataFrame, keys) -> DataFrame:
+    """One row per (trip, event_no) from rows carrying ``sign`` and ``event_no``."""
     return k.groupBy(*keys, "event_no").agg(
         F.max("sign").alias("sign"),
         F.count(F.lit(1)).alias("n_steps"),
@@ -70,3 +75,16 @@ def speed_bands(kin: DataFrame, keys=None, band_mph: float = BAND_MPH) -> DataFr
     return (kin.where(F.col("v").isNotNull()).withColumn("band", band)
                .groupBy(*keys, "band")
                .agg(F.count(F.lit(1)).alias("n_steps"), F.avg("v").alias("mean_v")))
+
+
+def events_from_steps(steps: DataFrame, smoothed: bool = False, keys=None,
+                      hot_rows: int | None = None, segment_rows: int | None = None) -> DataFrame:
+    """V1/V2 straight from steps; trips above ``hot_rows`` rows take the segmented path."""
+    from roadprint.operators.kinematics import kinematics
+    keys = keys or KEYS
+    if hot_rows is None:
+        return accel_events(kinematics(steps, smoothed=smoothed, keys=keys), keys)
+    from roadprint.operators import segments
+    normal, hot = segments.split_hot(steps, hot_rows, keys)
+    return accel_events(kinematics(normal, smoothed=smoothed, keys=keys), keys).unionByName(
+        segments.segmented_accel_events(hot, smoothed, keys, segment_rows or segments.SEGMENT_ROWS))

@@ -92,8 +92,11 @@ def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
 
 
 def kinematics_frame(df: DataFrame, w, smoothed: bool, order: int, wrap: bool, keys,
-                     extra) -> DataFrame:
-    """The kinematics projection over window ``w``; ``df`` already has ``step_no``."""
+                     extra, with_prev: bool = False) -> DataFrame:
+    """The kinematics projection over window ``w``; ``df`` already has ``step_no``.
+
+    ``with_prev`` adds ``_a_prev``, the acceleration of the previous row.
+    """
     ahead = order - 1 if smoothed else 0
     nb = {}
     for k in range(1, 4):
@@ -138,4 +141,4 @@ def kinematics_frame(df: DataFrame, w, smoothed: bool, order: int, wrap: bool, k
         v0.alias("v"), a0.alias("a"),
         F.when(r == 0, F.lit(0.0)).otherwise(v0 * v0 / r).alias("cent_acc"),
         ang0.alias("ang_vel"), (ang0 - ang1).alias("tan_acc"), (a0 - a1).alias("jerk"),
-        *extra)
+        *extra, *([a1.alias("_a_prev")] if with_prev else []))

@@ -82,8 +82,9 @@ def with_halos(df: DataFrame, segment_rows: int, back: int, ahead: int) -> DataF
 
 
 def segmented_kinematics(hot: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
-                         wrap: bool = False, keys=None,
-                         segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+                         wrap: bool = False, keys=None, segment_rows: int = SEGMENT_ROWS,
+                         internal: bool = False) -> DataFrame:
+    """Kinematics of hot trips; ``internal`` keeps ``_seg`` and ``_a_prev`` for events."""
     from roadprint.operators.kinematics import kinematics_frame
     keys = keys or KEYS
     ahead = order - 1 if smoothed else 0
@@ -92,8 +93,33 @@ def segmented_kinematics(hot: DataFrame, smoothed: bool = False, order: int = MA
     extra = [c for c in hot.columns if c not in set(keys) | {"step", "x", "y"}]
     df = with_halos(number_steps(hot, segment_rows, keys), segment_rows, 3, ahead)
     w = Window.partitionBy(*keys, "_seg").orderBy("step_no")
-    kin = kinematics_frame(df, w, smoothed, order, wrap, keys, extra + ["_core"])
-    return kin.where(F.col("_core")).drop("_core")
+    kin = kinematics_frame(df, w, smoothed, order, wrap, keys, extra + ["_core", "_seg"],
+                           with_prev=internal)
+    kin = kin.where(F.col("_core")).drop("_core")
+    return kin if internal else kin.drop("_seg")
+
+
+def segmented_accel_events(hot: DataFrame, smoothed: bool = False, keys=None,
+                           segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """V1/V2 for hot trips: the running event number is a segment-local running sum of
+    change flags plus the flags of all earlier segments (a window over the small
+    per-segment table)."""
+    from roadprint.operators.events import summarise_events
+    keys = keys or KEYS
+    k = segmented_kinematics(hot, smoothed, keys=keys, segment_rows=segment_rows, internal=True)
+    k = (k.where(F.col("a").isNotNull())
+          .withColumn("sign", F.signum("a").cast("int"))
+          .withColumn("_chg", F.when((F.col("step_no") == 1)
+                                     | (F.col("sign") != F.signum("_a_prev").cast("int")), 1)
+                      .otherwise(0)))
+    local = F.sum("_chg").over(Window.partitionBy(*keys, "_seg").orderBy("step_no")
+                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    tot = k.groupBy(*keys, "_seg").agg(F.sum("_chg").alias("_c"))
+    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*keys, "_seg", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    k = (k.withColumn("_local", local).join(off, keys + ["_seg"])
+          .withColumn("event_no", (F.col("_off") + F.col("_local")).cast("bigint")))
+    return summarise_events(k, keys)
 
 
 def split_kinematics(steps: DataFrame, smoothed: bool, order: int, wrap: bool, keys,

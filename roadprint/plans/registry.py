@@ -461,6 +461,13 @@ def speed_bands(spark, sf_dir):
     return final(events.speed_bands(kin(spark, sf_dir)))
 
 
+@query("accel_events_split_lineitem", _events_sql(f"SELECT {O.EVENT_COLS} FROM events", "lineitem"))
+def accel_events_split_lineitem(spark, sf_dir):
+    st = steps(spark, sf_dir, "lineitem")
+    return final(events.events_from_steps(st, hot_rows=SPLIT_HOT_ROWS,
+                                          segment_rows=SPLIT_SEGMENT_ROWS))
+
+
 @query("accel_events_lineitem", _events_sql(f"SELECT {O.EVENT_COLS} FROM events", "lineitem"))
 def accel_events_lineitem(spark, sf_dir):
     return final(events.accel_events(kin(spark, sf_dir, adapter="lineitem")))
