@@ -55,7 +55,7 @@ def main():
         "features_v2": lambda: features.features_for_version(li(), 2),
         "features_v3": lambda: features.features_for_version(li(), 3),
         "features_v4": lambda: features.features_for_version(li(), 4),
-        "accel_event_mean": lambda: events.event_means(events.accel_events(kinematics.kinematics(li()))),
+        "accel_event_mean": lambda: events.event_means(events.events_from_steps(li())),
         "features_v4_events": lambda: features.features_for_version(ev(), 4),
         "fleet_labelled_trips": lambda: sampling.fleet_labelled_trips(sampling.fleet_index(li())),
         "fleet_rule_metrics": fleet_rule_metrics,

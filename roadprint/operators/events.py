@@ -78,7 +78,8 @@ def speed_bands(kin: DataFrame, keys=None, band_mph: float = BAND_MPH) -> DataFr
 
 
 def events_from_steps(steps: DataFrame, smoothed: bool = False, keys=None,
-                      hot_rows: int | None = None, segment_rows: int | None = None) -> DataFrame:
+                      hot_rows: int | None = 2_000_000,
+                      segment_rows: int | None = None) -> DataFrame:
     """V1/V2 straight from steps; trips above ``hot_rows`` rows take the segmented path."""
     from roadprint.operators.kinematics import kinematics
     keys = keys or KEYS
@@ -86,5 +87,8 @@ def events_from_steps(steps: DataFrame, smoothed: bool = False, keys=None,
         return accel_events(kinematics(steps, smoothed=smoothed, keys=keys), keys)
     from roadprint.operators import segments
     normal, hot = segments.split_hot(steps, hot_rows, keys)
-    return accel_events(kinematics(normal, smoothed=smoothed, keys=keys), keys).unionByName(
+    out = accel_events(kinematics(normal, smoothed=smoothed, keys=keys), keys)
+    if hot is None:
+        return out
+    return out.unionByName(
         segments.segmented_accel_events(hot, smoothed, keys, segment_rows or segments.SEGMENT_ROWS))

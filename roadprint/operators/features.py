@@ -18,6 +18,8 @@ from roadprint.functions.columns import (KEYS, MA_ORDER, PERCENT_LEVELS, PERCENT
                                          STOP_SPEED)
 from roadprint.operators.kinematics import kinematics
 
+HOT_TRIP_ROWS = 2_000_000  # trips above this many rows take the segmented path
+
 # Series the statistics are taken over.
 SERIES_NAMES = ["v", "a", "a_pos", "a_neg", "ang_vel", "tan_acc", "jerk"]
 
@@ -122,7 +124,7 @@ def trip_features_ranked(kin: DataFrame, names: list[str], keys=None) -> DataFra
 
 
 def features_for_version(steps: DataFrame, version: int, keys=None, order: int = MA_ORDER,
-                         approx: bool = False, hot_rows: int | None = None,
+                         approx: bool = False, hot_rows: int | None = HOT_TRIP_ROWS,
                          segment_rows: int | None = None) -> DataFrame:
     """Model-version vectors 1-4 straight from steps.
 
@@ -133,7 +135,8 @@ def features_for_version(steps: DataFrame, version: int, keys=None, order: int =
 
 
 def features_from_steps(steps: DataFrame, names: list[str], smoothed: bool = False, keys=None,
-                        order: int = MA_ORDER, approx: bool = False, hot_rows: int | None = None,
+                        order: int = MA_ORDER, approx: bool = False,
+                        hot_rows: int | None = HOT_TRIP_ROWS,
                         segment_rows: int | None = None) -> DataFrame:
     keys = keys or KEYS
     if hot_rows is None:
@@ -143,6 +146,8 @@ def features_from_steps(steps: DataFrame, names: list[str], smoothed: bool = Fal
     normal, hot = segments.split_hot(steps, hot_rows, keys)
     a = trip_features(kinematics(normal, smoothed=smoothed, order=order, keys=keys), names, keys,
                       approx=approx)
+    if hot is None:
+        return a
     kin_hot = segments.segmented_kinematics(hot, smoothed, order, False, keys,
                                             segment_rows or segments.SEGMENT_ROWS)
     return a.unionByName(trip_features_ranked(kin_hot, names, keys))
@@ -150,7 +155,7 @@ def features_from_steps(steps: DataFrame, names: list[str], smoothed: bool = Fal
 
 def features_vector(steps: DataFrame, vector: str, smoothed: bool = False, keys=None) -> DataFrame:
     """A17-A20 and the canonical vectors by name (see ``VECTORS``)."""
-    return trip_features(kinematics(steps, smoothed=smoothed, keys=keys), VECTORS[vector], keys)
+    return features_from_steps(steps, VECTORS[vector], smoothed, keys)
 
 
 def assemble(features: DataFrame, names: list[str], out: str = "features") -> DataFrame:

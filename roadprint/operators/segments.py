@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from roadprint.functions.columns import KEYS, MA_ORDER, PERCENT_LEVELS, PERCENT_NAMES, dense_index
 
-HOT_TRIP_ROWS = 2_000_000
 SEGMENT_ROWS = 500_000
 BROADCAST_HOT_KEYS = 100_000
 
@@ -39,13 +38,20 @@ def hot_trip_keys(steps: DataFrame, hot_rows: int, keys=None) -> DataFrame:
                  .where(F.col("_n") > hot_rows).select(*keys))
 
 
-def split_hot(steps: DataFrame, hot_rows: int, keys=None) -> tuple[DataFrame, DataFrame]:
-    """(normal steps, hot steps).  The hot key table is broadcast only below a checked size."""
+def split_hot(steps: DataFrame, hot_rows: int, keys=None):
+    """(normal steps, hot steps or None when no trip is hot).
+
+    One count job sizes the hot key table (at most total_rows / hot_rows keys);
+    it is broadcast only below a checked size.
+    """
     keys = keys or KEYS
     hot = hot_trip_keys(steps, hot_rows, keys)
-    if hot.limit(BROADCAST_HOT_KEYS + 1).count() <= BROADCAST_HOT_KEYS:
+    n_hot = hot.limit(BROADCAST_HOT_KEYS + 1).count()
+    if n_hot == 0:
+        return steps, None
+    if n_hot <= BROADCAST_HOT_KEYS:
         hot = F.broadcast(hot)
-    return (steps.join(hot, keys, "left_anti"), steps.join(hot, keys, "left_semi"))
+    return steps.join(hot, keys, "left_anti"), steps.join(hot, keys, "left_semi")
 
 
 def number_steps(hot: DataFrame, segment_rows: int, keys=None) -> DataFrame:
@@ -126,7 +132,10 @@ def split_kinematics(steps: DataFrame, smoothed: bool, order: int, wrap: bool, k
                      hot_rows: int, segment_rows: int | None) -> DataFrame:
     from roadprint.operators.kinematics import kinematics
     normal, hot = split_hot(steps, hot_rows, keys)
-    return kinematics(normal, smoothed, order, wrap, keys).unionByName(
+    out = kinematics(normal, smoothed, order, wrap, keys)
+    if hot is None:
+        return out
+    return out.unionByName(
         segmented_kinematics(hot, smoothed, order, wrap, keys, segment_rows or SEGMENT_ROWS))
 
 
