@@ -113,3 +113,55 @@ def test_edge_trips(spark):
     assert f1["one"]["mean_v"] == 5.0 and f1["two"]["mean_neg_a"] is None
     empty = df.where("driver < 0")
     assert features.features_for_version(empty, 2).count() == 0
+
+
+def _trip(spark, pts, trip="e"):
+    rows = [(1, trip, i + 1, float(x), float(y)) for i, (x, y) in enumerate(pts)]
+    return spark.createDataFrame(rows, "driver long, trip string, step long, x double, y double")
+
+
+def test_smoothing_border_9_and_10_points(spark):
+    nine = _trip(spark, [(i, 0) for i in range(9)], "nine")
+    ten = _trip(spark, [(i, 0) for i in range(10)], "ten")
+    k9 = kinematics.kinematics(nine, smoothed=True).collect()
+    k10 = kinematics.kinematics(ten, smoothed=True).orderBy("step").collect()
+    assert all(r["v"] is None for r in k9)                    # 0 smoothed values
+    assert [r["v"] is not None for r in k10] == [True] + [False] * 9   # exactly 1
+    assert abs(k10[0]["v"] - 0.9) < 1e-12                      # (0 + 1*9) / 10
+
+
+def test_origin_mid_trip_all_equal_and_no_braking(spark):
+    k = kinematics.kinematics(_trip(spark, [(1, 1), (0, 0), (2, 0)])).orderBy("step").collect()
+    assert k[1]["r"] == 0 and k[1]["cent_acc"] == 0.0 and k[1]["theta"] == 0.0
+    same = features.trip_features(kinematics.kinematics(_trip(spark, [(2, 2)] * 5)),
+                                  features.V1).collect()[0]
+    # v = [2*sqrt(2), 0, 0, 0, 0]: v[0] is the distance from the origin
+    assert same["time_stop"] == 4 and same["min_v"] == 0.0
+    assert abs(same["max_v"] - 8 ** 0.5) < 1e-12 and abs(same["std_v"] - 2 * 8 ** 0.5 / 5) < 1e-12
+    mono = features.trip_features(kinematics.kinematics(_trip(spark, [(i * i, 0) for i in range(6)])),
+                                  ["mean_neg_a", "std_neg_a", "mean_pos_a"]).collect()[0]
+    assert mono["mean_neg_a"] is None and mono["std_neg_a"] is None and mono["mean_pos_a"] is not None
+
+
+def test_heading_crossing_pi(spark):
+    # points just above and just below the negative x axis: theta jumps by about 2 pi
+    pts = [(-1, 0.01), (-1, -0.01), (-1, 0.01)]
+    raw = kinematics.kinematics(_trip(spark, pts)).orderBy("step").collect()
+    assert abs(raw[1]["ang_vel"]) > 6.0                        # literal difference (reference)
+    wrapped = kinematics.kinematics(_trip(spark, pts), wrap=True).orderBy("step").collect()
+    assert all(-3.1416 <= r["ang_vel"] < 3.1416 for r in wrapped)
+    assert abs(wrapped[1]["ang_vel"] - 0.02) < 1e-3
+
+
+def test_hot_trip_path_equals_window_path(spark):
+    import math
+    pts = [(math.cos(i / 7.0) * i, math.sin(i / 5.0) * 3 + (i % 4)) for i in range(120)]
+    df = _trip(spark, pts, "long").unionByName(_trip(spark, pts[:15], "short"))
+    for v in (2, 4):
+        a = {r["trip"]: r for r in features.features_for_version(df, v, hot_rows=None).collect()}
+        b = {r["trip"]: r for r in features.features_for_version(df, v, hot_rows=50,
+                                                                 segment_rows=11).collect()}
+        for t in a:
+            for c in a[t].asFields() if hasattr(a[t], "asFields") else a[t].asDict():
+                x, y = a[t][c], b[t][c]
+                assert (x is None and y is None) or x == y or abs(x - y) < 1e-9, (v, t, c, x, y)
