@@ -86,19 +86,21 @@ def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
         return segments.split_kinematics(steps, smoothed, order, wrap, keys, hot_rows,
                                          segment_rows)
     w = trip_window(keys)
-    df = steps.withColumn("step_no", F.row_number().over(w).cast("bigint"))
-    return kinematics_frame(df, w, smoothed, order, wrap, keys,
-                            [c for c in steps.columns if c not in set(keys) | {"step", "x", "y"}])
+    return kinematics_frame(steps, w, smoothed, order, wrap, keys,
+                            [c for c in steps.columns if c not in set(keys) | {"step", "x", "y"}],
+                            number_rows=True)
 
 
 def kinematics_frame(df: DataFrame, w, smoothed: bool, order: int, wrap: bool, keys,
-                     extra, with_prev: bool = False) -> DataFrame:
-    """The kinematics projection over window ``w``; ``df`` already has ``step_no``.
+                     extra, with_prev: bool = False, number_rows: bool = False) -> DataFrame:
+    """The kinematics projection over window ``w``.
 
-    ``with_prev`` adds ``_a_prev``, the acceleration of the previous row.
+    ``number_rows`` numbers the rows (``step_no``) in the same window operator;
+    otherwise ``df`` already has ``step_no``.  ``with_prev`` adds ``_a_prev``,
+    the acceleration of the previous row.
     """
     ahead = order - 1 if smoothed else 0
-    nb = {}
+    nb = {"step_no": F.row_number().over(w).cast("bigint")} if number_rows else {}
     for k in range(1, 4):
         nb[f"_x_m{k}"], nb[f"_y_m{k}"] = lag0("x", w, k), lag0("y", w, k)
     for k in range(1, 3):
