@@ -11,12 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadprint.functions.columns import PERCENT_NAMES, q4
+from roadprint.functions.columns import q4
 from roadprint.operators import (arrays, assembly, evaluation, events, features, fleet,
                                  kinematics, models, sampling)
 from roadprint.plans import oracle as O
