@@ -148,6 +148,24 @@ def labelled_steps(steps: DataFrame, target, k: int = K_TRIPS, seed: int = DEFAU
     return pos.unionByName(neg)
 
 
+def fleet_labelled_steps(steps: DataFrame, k: int = K_TRIPS, seed: int = DEFAULT_SEED,
+                         offset: int = FIRST_FOREIGN_ID - 1,
+                         idx: FleetIndex | None = None) -> DataFrame:
+    """M6 for every target: own steps (label 1.0) + each target's re-identified draws (0.0).
+
+    Each trip is drawn about ``k * D / T`` times over all targets, so the
+    labelled step set is about twice the steps table, whatever the skew of
+    drivers.  Output: driver (= target), trip, step, x, y, label.
+    """
+    idx = idx or fleet_index(steps)
+    gl = relabel_glossary(sample_pairs(idx, k, seed), offset, seed)
+    neg = (relabel_steps(steps, gl)
+           .select("driver", F.col("trip_no").cast("string").alias("trip"), "step", "x", "y")
+           .withColumn("label", F.lit(0.0)))
+    pos = steps.select("driver", "trip", "step", "x", "y").withColumn("label", F.lit(1.0))
+    return pos.unionByName(neg)
+
+
 def union_labelled(positives: DataFrame, negatives: DataFrame) -> DataFrame:
     """Union all of labelled sets, matched by column name."""
     return positives.unionByName(negatives)

@@ -219,6 +219,55 @@ def labelled_union(spark, sf_dir):
     return sampling.union_labelled(pos, neg)
 
 
+# ---- the same operators for every target at once (M1, P4, J1/M4, M6, U1 over the fleet)
+
+_FLEET_PAIRS = [EV, O.fleet_ctes(K)]
+
+
+@query("fleet_sample_pairs", _with(*_FLEET_PAIRS) + "SELECT target, slot, driver, trip FROM pairs")
+def fleet_sample_pairs(spark, sf_dir):
+    return sampling.sample_pairs(sampling.fleet_index(steps(spark, sf_dir)), K)
+
+
+@query("fleet_trips_membership", _with(*_FLEET_PAIRS) +
+       "SELECT driver, trip, step, x, y FROM steps s WHERE EXISTS "
+       "(SELECT 1 FROM pairs p WHERE p.driver = s.driver AND p.trip = s.trip)")
+def fleet_trips_membership(spark, sf_dir):
+    st = steps(spark, sf_dir)
+    return sampling.trips_membership(st, sampling.sample_pairs(sampling.fleet_index(st), K))
+
+
+@query("fleet_relabel_trips", _with(*_FLEET_PAIRS, _GLOSSARY_CTE) +
+       "SELECT gl.target AS driver, gl.trip_no, s.step, s.x, s.y FROM steps s JOIN gl "
+       "ON s.driver = gl.driver AND s.trip = gl.trip")
+def fleet_relabel_trips(spark, sf_dir):
+    st = steps(spark, sf_dir)
+    pairs = sampling.sample_pairs(sampling.fleet_index(st), K)
+    return sampling.relabel_steps(st, sampling.relabel_glossary(pairs))
+
+
+@query("fleet_labelled_steps", _with(*_FLEET_PAIRS, _GLOSSARY_CTE) +
+       "SELECT driver, trip, step, x, y, CAST(1.0 AS DOUBLE) AS label FROM steps "
+       "UNION ALL SELECT gl.target AS driver, CAST(gl.trip_no AS VARCHAR) AS trip, s.step, s.x, s.y, "
+       "CAST(0.0 AS DOUBLE) AS label FROM steps s JOIN gl ON s.driver = gl.driver AND s.trip = gl.trip")
+def fleet_labelled_steps(spark, sf_dir):
+    return sampling.fleet_labelled_steps(steps(spark, sf_dir), K)
+
+
+@query("fleet_labelled_union", _with(*_FLEET_PAIRS) +
+       "SELECT driver AS target, driver, trip, step, x, y, CAST(1.0 AS DOUBLE) AS label FROM steps "
+       "UNION ALL SELECT p.target, s.driver, s.trip, s.step, s.x, s.y, CAST(0.0 AS DOUBLE) AS label "
+       "FROM steps s JOIN (SELECT DISTINCT target, driver, trip FROM pairs) p "
+       "ON s.driver = p.driver AND s.trip = p.trip")
+def fleet_labelled_union(spark, sf_dir):
+    st = steps(spark, sf_dir)
+    pairs = sampling.sample_pairs(sampling.fleet_index(st), K)
+    keys = pairs.select("target", "driver", "trip").distinct()
+    pos = st.withColumn("target", F.col("driver")).withColumn("label", F.lit(1.0))
+    neg = st.join(keys, ["driver", "trip"]).withColumn("label", F.lit(0.0))
+    return sampling.union_labelled(pos, neg).select("target", "driver", "trip", "step", "x", "y", "label")
+
+
 def _fleet_labelled(spark, sf_dir):
     return sampling.fleet_labelled_trips(sampling.fleet_index(steps(spark, sf_dir)), K)
 
@@ -582,7 +631,7 @@ def logistic_fit_score(spark, sf_dir):
 
 
 def gbt_sweep_records(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.GBT_TREES),
-                      parallel: int = 4) -> DataFrame:
+                      parallel: int = 8) -> DataFrame:
     """Versions x tree counts.  Each version's training set is built and written
     once; the fits of the grid run concurrently from a thread pool."""
     from roadprint.session import materialize
