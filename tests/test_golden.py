@@ -165,3 +165,24 @@ def test_hot_trip_path_equals_window_path(spark):
             for c in a[t].asFields() if hasattr(a[t], "asFields") else a[t].asDict():
                 x, y = a[t][c], b[t][c]
                 assert (x is None and y is None) or x == y or abs(x - y) < 1e-9, (v, t, c, x, y)
+
+
+def test_hot_trip_path_with_gapped_steps(spark):
+    import math
+    rows, s = [], 0
+    for i in range(90):
+        s += 1 + (i * 7) % 5 * 3          # gaps of 1..13 between step values
+        rows.append((2, "gap", s, math.sin(i / 3.0) * 10, float(i % 6)))
+    df = spark.createDataFrame(rows, "driver long, trip string, step long, x double, y double")
+    for smoothed in (False, True):
+        a = {r["step"]: r for r in kinematics.kinematics(df, smoothed=smoothed).collect()}
+        b = {r["step"]: r for r in kinematics.kinematics(df, smoothed=smoothed, hot_rows=10,
+                                                         segment_rows=9).collect()}
+        assert a.keys() == b.keys()
+        for k in a:
+            assert a[k]["step_no"] == b[k]["step_no"]
+            for c in ("v", "a", "jerk", "cent_acc", "ang_vel", "tan_acc"):
+                assert close(a[k][c], b[k][c], 1e-12), (smoothed, k, c)
+    ea = sorted(tuple(r) for r in events.events_from_steps(df, hot_rows=None).collect())
+    eb = sorted(tuple(r) for r in events.events_from_steps(df, hot_rows=10, segment_rows=9).collect())
+    assert ea == eb
