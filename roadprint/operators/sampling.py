@@ -83,6 +83,64 @@ def sample_entities(catalogue: DataFrame, target, k: int = K_DRIVERS,
                 .select(F.lit(target).cast("bigint").alias("target"), "driver"))
 
 
+def sample_entities_fleet(idx: FleetIndex, k: int = K_DRIVERS, seed: int = DEFAULT_SEED,
+                          draws_per_round: int | None = None) -> DataFrame:
+    """M2 for every target: ``k`` distinct other drivers, uniform over k-subsets.
+
+    Draws partners with replacement in rounds of slots and keeps each target's
+    first ``k`` distinct partners by first slot (sequential sampling with
+    rejection of repeats).  Another round is drawn only while some target has
+    fewer than ``min(k, D - 1)`` distinct partners, so the result is exact;
+    the kept set does not depend on how many extra slots were drawn.  Each
+    target's window holds only its own draws.  Returns target, driver.
+    """
+    d = idx.n_drivers
+    k_eff = min(k, d - 1)
+    if k_eff <= 0:
+        return idx.drivers.select(F.col("driver").alias("target"), "driver").limit(0)
+    m = draws_per_round or 2 * k_eff
+    tg = idx.drivers.select(F.col("driver").alias("target"), F.col("dpos").alias("tpos"))
+    partners = idx.drivers.select(F.col("dpos").alias("pdpos"), "driver")
+    firsts, rounds = None, 0
+    while True:
+        lo, hi = rounds * m, (rounds + 1) * m - 1
+        slots = tg.select("target", "tpos",
+                          F.explode(F.sequence(F.lit(lo).cast("bigint"), F.lit(hi).cast("bigint")))
+                          .alias("slot"))
+        cand = (slots.withColumn("pdpos", (F.col("tpos") + 1 + u32(seed, "target", "slot", F.lit("e"))
+                                           % (d - 1)) % d)
+                     .join(partners, "pdpos").select("target", "driver", "slot"))
+        if firsts is not None:
+            cand = cand.unionByName(firsts)
+        from roadprint.session import materialize
+        firsts = materialize(cand.groupBy("target", "driver").agg(F.min("slot").alias("slot")),
+                             "entity-draws")
+        rounds += 1
+        short = firsts.groupBy("target").count().where(F.col("count") < k_eff)
+        if short.limit(1).count() == 0:
+            break
+    w = Window.partitionBy("target").orderBy("slot")
+    return (firsts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k_eff)
+                  .select("target", "driver"))
+
+
+def fleet_sampled_trips(idx: FleetIndex, k: int = K_DRIVERS, fraction: float = TRIP_FRACTION,
+                        seed: int = DEFAULT_SEED) -> DataFrame:
+    """M5 for every target: own trips (label 1) + a Bernoulli sample of the trips of
+    ``k`` drivers drawn without replacement (label 0), drawn independently per target.
+
+    The draw is evaluated on the join of (target, driver) with the driver's trips and
+    filtered in the same stage; a driver owning many trips is split by AQE's skew join.
+    Columns: target, driver, trip, label.
+    """
+    ents = sample_entities_fleet(idx, k, seed)
+    neg = (ents.join(idx.trips.select("driver", "trip"), "driver")
+               .where(u32(seed, "target", "driver", "trip") < int(fraction * U32))
+               .select("target", "driver", "trip", F.lit(0).alias("label")))
+    own = idx.trips.select(F.col("driver").alias("target"), "driver", "trip", F.lit(1).alias("label"))
+    return own.unionByName(neg)
+
+
 def bernoulli(df: DataFrame, fraction: float = TRIP_FRACTION, seed: int = DEFAULT_SEED,
               cols=("driver", "trip")) -> DataFrame:
     """M3: keep each row with probability ``fraction`` (reproducible md5 draw)."""

@@ -156,3 +156,21 @@ def fleet_labelled_ctes(k: int, first_foreign: int) -> str:
 
 def u32_threshold(fraction: float) -> int:
     return int(fraction * U32)
+
+
+def fleet_entities_ctes(k: int, draws: int) -> str:
+    """trips, tidx, drv, didx, nd, ents (target, driver): first k distinct partners by slot."""
+    return (
+        "trips AS (SELECT DISTINCT driver, trip FROM steps),\n"
+        "tidx AS (SELECT driver, trip, row_number() OVER (ORDER BY driver, trip) - 1 AS gpos FROM trips),\n"
+        "drv AS (SELECT driver, min(gpos) AS start, count(*) AS n_trips FROM tidx GROUP BY driver),\n"
+        "didx AS (SELECT driver, start, n_trips, row_number() OVER (ORDER BY driver) - 1 AS dpos FROM drv),\n"
+        "nd AS (SELECT count(*) AS d FROM didx),\n"
+        f"eslots AS (SELECT t.driver AS target, t.dpos AS tpos, CAST(s.slot AS BIGINT) AS slot "
+        f"FROM didx t CROSS JOIN range(0, {draws}) s(slot)),\n"
+        f"epk AS (SELECT target, slot, (tpos + 1 + {h(repr(str(SEED)), 'target', 'slot', repr('e'))} "
+        f"% (nd.d - 1)) % nd.d AS pdpos FROM eslots CROSS JOIN nd),\n"
+        "efirst AS (SELECT epk.target, p.driver, min(epk.slot) AS slot FROM epk "
+        "JOIN didx p ON p.dpos = epk.pdpos GROUP BY epk.target, p.driver),\n"
+        f"ents AS (SELECT target, driver FROM (SELECT *, row_number() OVER (PARTITION BY target "
+        f"ORDER BY slot) AS r FROM efirst) WHERE r <= least({k}, (SELECT d FROM nd) - 1))")

@@ -268,6 +268,26 @@ def fleet_labelled_union(spark, sf_dir):
     return sampling.union_labelled(pos, neg).select("target", "driver", "trip", "step", "x", "y", "label")
 
 
+# M2 / M5 for every target (draws without replacement, then a Bernoulli sample of trips)
+
+_ENT_SQL = _with(EV, O.fleet_entities_ctes(K_ENTITIES, 40 * K_ENTITIES))
+
+
+@query("fleet_sample_entities", _ENT_SQL + "SELECT target, driver FROM ents")
+def fleet_sample_entities(spark, sf_dir):
+    return sampling.sample_entities_fleet(sampling.fleet_index(steps(spark, sf_dir)), K_ENTITIES)
+
+
+@query("fleet_sampled_trips", _with(EV, O.fleet_entities_ctes(sampling.K_DRIVERS,
+                                                               40 * sampling.K_DRIVERS)) +
+       "SELECT driver AS target, driver, trip, 1 AS label FROM tidx UNION ALL "
+       "SELECT e.target, t.driver, t.trip, 0 AS label FROM ents e JOIN tidx t ON t.driver = e.driver "
+       f"WHERE {O.h(repr(str(O.SEED)), 'e.target', 't.driver', 't.trip')} < "
+       f"{O.u32_threshold(sampling.TRIP_FRACTION)}")
+def fleet_sampled_trips(spark, sf_dir):
+    return sampling.fleet_sampled_trips(sampling.fleet_index(steps(spark, sf_dir)))
+
+
 def _fleet_labelled(spark, sf_dir):
     return sampling.fleet_labelled_trips(sampling.fleet_index(steps(spark, sf_dir)), K)
 

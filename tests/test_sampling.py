@@ -83,3 +83,21 @@ def test_sample_entities_excludes_target(spark):
     s = sampling.sample_entities(cat, 5, k=40)
     ids = [r["driver"] for r in s.collect()]
     assert len(ids) == len(set(ids)) == 40 and 5 not in ids
+
+
+def test_fleet_entities_exact_and_round_independent(spark):
+    st = testdata.events_steps(spark, SF_SMALL)
+    idx = sampling.fleet_index(st)
+    k = 9
+    a = sampling.sample_entities_fleet(idx, k=k, draws_per_round=3)     # many rounds
+    b = sampling.sample_entities_fleet(idx, k=k, draws_per_round=200)   # one round
+    ra = sorted(map(tuple, a.collect()))
+    assert ra == sorted(map(tuple, b.collect()))
+    per = {}
+    for t, d in ra:
+        assert t != d
+        per.setdefault(t, set()).add(d)
+    assert len(per) == idx.n_drivers and all(len(v) == k for v in per.values())
+    # asking for more than the pool gives the whole pool
+    c = sampling.sample_entities_fleet(idx, k=1000)
+    assert c.count() == idx.n_drivers * (idx.n_drivers - 1)
