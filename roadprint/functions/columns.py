@@ -24,6 +24,9 @@ BAND_MPH = 15.0
 
 U32 = 4294967296  # 2**32
 
+# Trips with more rows than this are processed in row segments (operators.segments).
+HOT_TRIP_ROWS = 2_000_000
+
 
 def trip_window(keys=None, order: str = "step"):
     return Window.partitionBy(*(keys or KEYS)).orderBy(order)

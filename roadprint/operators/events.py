@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadprint.functions.columns import BAND_MPH, KEYS, MPS_TO_MPH, trip_window
+from roadprint.functions.columns import BAND_MPH, HOT_TRIP_ROWS, KEYS, MPS_TO_MPH, trip_window
 
 
 def accel_events(kin: DataFrame, keys=None) -> DataFrame:
@@ -78,16 +78,16 @@ def speed_bands(kin: DataFrame, keys=None, band_mph: float = BAND_MPH) -> DataFr
 
 
 def events_from_steps(steps: DataFrame, smoothed: bool = False, keys=None,
-                      hot_rows: int | None = 2_000_000,
+                      hot_rows: int | None = HOT_TRIP_ROWS,
                       segment_rows: int | None = None) -> DataFrame:
     """V1/V2 straight from steps; trips above ``hot_rows`` rows take the segmented path."""
     from roadprint.operators.kinematics import kinematics
     keys = keys or KEYS
     if hot_rows is None:
-        return accel_events(kinematics(steps, smoothed=smoothed, keys=keys), keys)
+        return accel_events(kinematics(steps, smoothed=smoothed, keys=keys, hot_rows=None), keys)
     from roadprint.operators import segments
     normal, hot = segments.split_hot(steps, hot_rows, keys)
-    out = accel_events(kinematics(normal, smoothed=smoothed, keys=keys), keys)
+    out = accel_events(kinematics(normal, smoothed=smoothed, keys=keys, hot_rows=None), keys)
     if hot is None:
         return out
     return out.unionByName(

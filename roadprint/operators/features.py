@@ -14,11 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadprint.functions.columns import (KEYS, MA_ORDER, PERCENT_LEVELS, PERCENT_NAMES,
-                                         STOP_SPEED)
+from roadprint.functions.columns import (HOT_TRIP_ROWS, KEYS, MA_ORDER, PERCENT_LEVELS,
+                                         PERCENT_NAMES, STOP_SPEED)
 from roadprint.operators.kinematics import kinematics
 
-HOT_TRIP_ROWS = 2_000_000  # trips above this many rows take the segmented path
 
 # Series the statistics are taken over.
 SERIES_NAMES = ["v", "a", "a_pos", "a_neg", "ang_vel", "tan_acc", "jerk"]
@@ -140,11 +139,13 @@ def features_from_steps(steps: DataFrame, names: list[str], smoothed: bool = Fal
                         segment_rows: int | None = None) -> DataFrame:
     keys = keys or KEYS
     if hot_rows is None:
-        return trip_features(kinematics(steps, smoothed=smoothed, order=order, keys=keys),
+        return trip_features(kinematics(steps, smoothed=smoothed, order=order, keys=keys,
+                                        hot_rows=None),
                              names, keys, approx=approx)
     from roadprint.operators import segments
     normal, hot = segments.split_hot(steps, hot_rows, keys)
-    a = trip_features(kinematics(normal, smoothed=smoothed, order=order, keys=keys), names, keys,
+    a = trip_features(kinematics(normal, smoothed=smoothed, order=order, keys=keys, hot_rows=None),
+                      names, keys,
                       approx=approx)
     if hot is None:
         return a

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadprint.functions.columns import KEYS, MA_ORDER, lag0, trip_window
+from roadprint.functions.columns import HOT_TRIP_ROWS, KEYS, MA_ORDER, lag0, trip_window
 
 KINEMATIC_COLUMNS = ["r", "theta", "v", "a", "cent_acc", "ang_vel", "tan_acc", "jerk"]
 
@@ -62,7 +62,7 @@ def _wrap_angle(c):
 
 
 def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
-               wrap: bool = False, keys=None, hot_rows: int | None = None,
+               wrap: bool = False, keys=None, hot_rows: int | None = HOT_TRIP_ROWS,
                segment_rows: int | None = None) -> DataFrame:
     """K12 (raw) or K11 (smoothed): r, theta, v, a, cent_acc, ang_vel, tan_acc, jerk.
 
@@ -78,7 +78,8 @@ def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
     used, so the values equal the chained form (lag of v, lag of a) exactly.
 
     ``hot_rows``: trips with more rows are not sent to one task; they are cut
-    into row segments with halos (see ``operators.segments``).
+    into row segments with halos (see ``operators.segments``).  One count job
+    checks the trip sizes; ``hot_rows=None`` skips the check (one window).
     """
     keys = keys or KEYS
     if hot_rows is not None:

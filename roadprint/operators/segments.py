@@ -132,7 +132,7 @@ def split_kinematics(steps: DataFrame, smoothed: bool, order: int, wrap: bool, k
                      hot_rows: int, segment_rows: int | None) -> DataFrame:
     from roadprint.operators.kinematics import kinematics
     normal, hot = split_hot(steps, hot_rows, keys)
-    out = kinematics(normal, smoothed, order, wrap, keys)
+    out = kinematics(normal, smoothed, order, wrap, keys, hot_rows=None)
     if hot is None:
         return out
     return out.unionByName(

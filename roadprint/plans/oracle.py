@@ -9,6 +9,8 @@ differences of summation order without engine-specific rounding rules.
 
 from __future__ import annotations
 
+import math
+
 from roadprint.functions.columns import (BAND_MPH, MA_ORDER, MPS_TO_MPH, PERCENT_LEVELS,
                                          PERCENT_NAMES, STOP_SPEED, U32)
 from roadprint.sources.testdata import ADAPTERS_SQL
@@ -31,7 +33,14 @@ def steps_cte(adapter: str = "events") -> str:
     return f"steps AS ({ADAPTERS_SQL[adapter]})"
 
 
-def kin_ctes(smoothed: bool = False, src: str = "steps", order: int = MA_ORDER) -> str:
+def _wrap(c: str) -> str:
+    pi, two_pi = repr(math.pi), repr(2.0 * math.pi)
+    return (f"(({c}) - FLOOR((({c}) + CAST({pi} AS DOUBLE)) / CAST({two_pi} AS DOUBLE)) "
+            f"* CAST({two_pi} AS DOUBLE))")
+
+
+def kin_ctes(smoothed: bool = False, src: str = "steps", order: int = MA_ORDER,
+             wrap: bool = False) -> str:
     """CTEs ending in ``kin`` (driver, trip, step, step_no, x, y, r, theta, v, a, cent_acc,
     ang_vel, tan_acc, jerk)."""
     dx = "(x - lag(x, 1, 0.0) OVER w)"
@@ -51,7 +60,8 @@ def kin_ctes(smoothed: bool = False, src: str = "steps", order: int = MA_ORDER)
     ctes.append(
         f"k2 AS (SELECT *, v - lag(v, 1, 0.0) OVER w AS a, "
         f"CASE WHEN r = 0 THEN CAST(0.0 AS DOUBLE) ELSE v * v / r END AS cent_acc, "
-        f"theta - lag(theta, 1, 0.0) OVER w AS ang_vel FROM {prev} {W})")
+        f"{_wrap('theta - lag(theta, 1, 0.0) OVER w') if wrap else 'theta - lag(theta, 1, 0.0) OVER w'}"
+        f" AS ang_vel FROM {prev} {W})")
     ctes.append(
         f"kin AS (SELECT driver, trip, step, step_no, x, y, r, theta, v, a, cent_acc, ang_vel, "
         f"ang_vel - lag(ang_vel, 1, 0.0) OVER w AS tan_acc, a - lag(a, 1, 0.0) OVER w AS jerk "

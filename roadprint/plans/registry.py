@@ -407,6 +407,13 @@ def _kin_query(name, cols, smoothed=False):
     query(name, _kin_sql(cols, smoothed))(fn)
 
 
+@query("angular_wrapped", _with(EV, O.kin_ctes(wrap=True)) +
+       f"SELECT {STEP_KEYS}, {O.q('ang_vel')}, {O.q('tan_acc')} FROM kin")
+def angular_wrapped(spark, sf_dir):
+    k = kinematics.kinematics(steps(spark, sf_dir), wrap=True)
+    return final(k.select("driver", "trip", "step", "ang_vel", "tan_acc"))
+
+
 _kin_query("speed", ["v"])
 _kin_query("acceleration", ["a"])
 _kin_query("centripetal", ["cent_acc"])
