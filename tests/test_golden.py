@@ -186,3 +186,13 @@ def test_hot_trip_path_with_gapped_steps(spark):
     ea = sorted(tuple(r) for r in events.events_from_steps(df, hot_rows=None).collect())
     eb = sorted(tuple(r) for r in events.events_from_steps(df, hot_rows=10, segment_rows=9).collect())
     assert ea == eb
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    import math
+    pts = [(math.cos(i / 9.0) * i, (i % 11) * 1.5) for i in range(400)]
+    kin = kinematics.kinematics(_trip(spark, pts, "long"), hot_rows=None)
+    exact = features.trip_features(kin, features.PCT7).collect()[0]
+    approx = features.trip_features(kin, features.PCT7, approx=True).collect()[0]
+    for n in features.PCT7:
+        assert abs(exact[n] - approx[n]) <= 0.05 * max(1.0, abs(exact[n])) + 1.0, n
