@@ -505,12 +505,12 @@ def accel_events(spark, sf_dir):
 
 @query("accel_events_positive", _events_sql(f"SELECT {O.EVENT_COLS} FROM events WHERE sign = 1"))
 def accel_events_positive(spark, sf_dir):
-    return final(events.positive_events(events.accel_events(kin(spark, sf_dir))))
+    return final(events.positive_events(events.events_from_steps(steps(spark, sf_dir))))
 
 
 @query("accel_events_negative", _events_sql(f"SELECT {O.EVENT_COLS} FROM events WHERE sign = -1"))
 def accel_events_negative(spark, sf_dir):
-    return final(events.negative_events(events.accel_events(kin(spark, sf_dir))))
+    return final(events.negative_events(events.events_from_steps(steps(spark, sf_dir))))
 
 
 @query("accel_event_mean", _events_sql(
@@ -521,13 +521,13 @@ def accel_events_negative(spark, sf_dir):
     "count(*) AS n_events, " + O.q("avg(mean_a)", "mean_all_events") +
     " FROM events GROUP BY driver, trip"))
 def accel_event_mean(spark, sf_dir):
-    return final(events.event_means(events.accel_events(kin(spark, sf_dir))))
+    return final(events.event_means(events.events_from_steps(steps(spark, sf_dir))))
 
 
 @query("event_end_speed", _events_sql("SELECT driver, trip, event_no, " + O.q("end_speed") +
                                       " FROM events"))
 def event_end_speed(spark, sf_dir):
-    ev = events.accel_events(kin(spark, sf_dir))
+    ev = events.events_from_steps(steps(spark, sf_dir))
     return final(ev.select("driver", "trip", "event_no", "end_speed"))
 
 
