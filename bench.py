@@ -54,6 +54,10 @@ def main():
         data = sampling.split_train_test(data, cols=("target", "driver", "trip", "slot"))
         return fleet.fit_predict_fleet(data, names, n_trees=25)
 
+    def foreign():
+        data, names = fleet.fleet_training_set(li(), 1)
+        return fleet.foreign_trips(data, names, n_trees=25)
+
     plan = {
         "kinematics": lambda: kinematics.kinematics(li()),
         "features_v1": lambda: features.features_for_version(li(), 1),
@@ -65,6 +69,8 @@ def main():
         "fleet_labelled_trips": lambda: sampling.fleet_labelled_trips(sampling.fleet_index(li())),
         "fleet_rule_metrics": fleet_rule_metrics,
         "fleet_fit_score": fleet_fit,
+        "fleet_sampled_trips": lambda: sampling.fleet_sampled_trips(sampling.fleet_index(li())),
+        "foreign_trips": foreign,
     }
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
