@@ -77,6 +77,22 @@ def speed_bands(kin: DataFrame, keys=None, band_mph: float = BAND_MPH) -> DataFr
                .agg(F.count(F.lit(1)).alias("n_steps"), F.avg("v").alias("mean_v")))
 
 
+def _events_one_window(steps: DataFrame, smoothed: bool, keys) -> DataFrame:
+    """Events with the previous row's acceleration taken from the kinematics window
+    (no separate lag window); the running sum is the only extra window."""
+    from roadprint.operators.kinematics import kinematics
+    k = kinematics(steps, smoothed=smoothed, keys=keys, hot_rows=None, with_prev=True)
+    k = (k.where(F.col("a").isNotNull())
+          .withColumn("sign", F.signum("a").cast("int"))
+          .withColumn("_chg", F.when((F.col("step_no") == 1)
+                                     | (F.col("sign") != F.signum("_a_prev").cast("int")), 1)
+                      .otherwise(0)))
+    w = trip_window(keys)
+    k = k.withColumn("event_no", F.sum("_chg").over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint"))
+    return summarise_events(k, keys)
+
+
 def events_from_steps(steps: DataFrame, smoothed: bool = False, keys=None,
                       hot_rows: int | None = HOT_TRIP_ROWS,
                       segment_rows: int | None = None) -> DataFrame:
@@ -84,10 +100,10 @@ def events_from_steps(steps: DataFrame, smoothed: bool = False, keys=None,
     from roadprint.operators.kinematics import kinematics
     keys = keys or KEYS
     if hot_rows is None:
-        return accel_events(kinematics(steps, smoothed=smoothed, keys=keys, hot_rows=None), keys)
+        return _events_one_window(steps, smoothed, keys)
     from roadprint.operators import segments
     normal, hot = segments.split_hot(steps, hot_rows, keys)
-    out = accel_events(kinematics(normal, smoothed=smoothed, keys=keys, hot_rows=None), keys)
+    out = _events_one_window(normal, smoothed, keys)
     if hot is None:
         return out
     return out.unionByName(

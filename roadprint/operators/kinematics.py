@@ -63,7 +63,7 @@ def _wrap_angle(c):
 
 def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
                wrap: bool = False, keys=None, hot_rows: int | None = HOT_TRIP_ROWS,
-               segment_rows: int | None = None) -> DataFrame:
+               segment_rows: int | None = None, with_prev: bool = False) -> DataFrame:
     """K12 (raw) or K11 (smoothed): r, theta, v, a, cent_acc, ang_vel, tan_acc, jerk.
 
     Smoothed: ``v`` is the order-``order`` forward moving average of the raw
@@ -89,7 +89,7 @@ def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
     w = trip_window(keys)
     return kinematics_frame(steps, w, smoothed, order, wrap, keys,
                             [c for c in steps.columns if c not in set(keys) | {"step", "x", "y"}],
-                            number_rows=True)
+                            with_prev=with_prev, number_rows=True)
 
 
 def kinematics_frame(df: DataFrame, w, smoothed: bool, order: int, wrap: bool, keys,
