@@ -13,7 +13,8 @@ NAMES = ["kinematics", "smoothed_kinematics", "moving_average", "features_v2", "
          "features_90", "accel_events", "accel_event_mean", "speed_bands", "trip_vectors",
          "polar_signature", "sample_pairs_with_replacement", "sample_entities", "labelled_steps",
          "fleet_labelled_trips", "half_split", "kfold_assign", "metrics_record",
-         "classification_metrics"]
+         "classification_metrics", "fleet_sample_entities", "fleet_sampled_trips",
+         "fleet_labelled_steps", "fleet_relabel_trips", "angular_wrapped", "accel_events_positive"]
 
 
 @pytest.fixture(scope="module")
