@@ -14,15 +14,13 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    ckpt = tempfile.mkdtemp(prefix="roadprint-test-", dir="/tmp")
     spark = (SparkSession.builder.master("local[*]")
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.checkpoint.dir", ckpt)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(ckpt)
+    if not spark.sparkContext.getCheckpointDir():  # keep the environment's shared folder
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="roadprint-test-", dir="/tmp"))
     yield spark
     spark.stop()
