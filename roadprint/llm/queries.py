@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadprint.llm import mixing, simhash
+from roadprint.llm import mixing, simhash, tokens, toxicity
 from roadprint.llm.common import table
 
 
@@ -19,9 +19,22 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels outside the held-out fifth."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document for the 50k byte-level BPE, through a fresh digest cache."""
+    import public_tokenizers
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op5_mixing": op5_mixing,
+    "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
+    "op10_tokens": op10_tokens,
 }
 
 # The mix in one statement: the cap-per-weight order as in water_fill, then a running
