@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadprint.llm import mixing, simhash, tokens, toxicity
+from roadprint.llm import mixing, pii, simhash, tokens, toxicity, urls
 from roadprint.llm.common import table
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page url: fixed rules, else its host's path-template tree.
+
+    A page's label is that of the document with its number: bad where quality is 0.
+    """
+    labelled = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), (F.col("quality") == 0).cast("int").alias("bad"))
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), labelled)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3, ... over their sources, at most 3 epochs."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -24,6 +34,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every whole document."""
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document for the 50k byte-level BPE, through a fresh digest cache."""
     import public_tokenizers
@@ -31,9 +46,11 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_urls": op3_urls,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
+    "op9_pii": op9_pii,
     "op10_tokens": op10_tokens,
 }
 
