@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadprint.llm import mixing, pii, simhash, tokens, toxicity, urls
+from roadprint.llm import decontam, mixing, pii, simhash, tokens, toxicity, urls, warc
 from roadprint.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that share a tile, with the item's coverage."""
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page url: fixed rules, else its host's path-template tree.
 
@@ -24,6 +29,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -46,9 +56,11 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_urls": op3_urls,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
+    "op7_warc": op7_warc,
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
     "op10_tokens": op10_tokens,
@@ -79,4 +91,14 @@ SELECT doc_id, size, source_size, target, CAST(epochs AS BIGINT) AS epochs,
     CAST(size * epochs + greatest(0, least(size, remainder - before)) AS BIGINT) AS taken FROM r
 """
 
-ORACLE_SQL = {"op5_mixing": MIXING_SQL}
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM q)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND last_id IS DISTINCT FROM page_id AND last_id IS NOT NULL
+        THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND last_id IS DISTINCT FROM page_id THEN last_id END AS refers_to FROM m
+"""
+
+ORACLE_SQL = {"op5_mixing": MIXING_SQL, "op7_warc": WARC_SQL}
