@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadprint.llm import decontam, mixing, pii, simhash, tokens, toxicity, urls, warc
+from roadprint.llm import decontam, mixing, pii, simhash, tokens, toxicity, urls, vectors, warc
 from roadprint.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), labelled)
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of one label with cosine 0.93 or more."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3, ... over their sources, at most 3 epochs."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -58,6 +63,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_urls": op3_urls,
+    "op4_embeddings": op4_embeddings,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
