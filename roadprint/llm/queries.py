@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadprint.llm import decontam, mixing, pii, simhash, tokens, toxicity, urls, vectors, warc
+from roadprint.llm import decontam, mixing, pii, simhash, substrings, tokens, toxicity, urls, vectors, warc
 from roadprint.llm.common import table
 
 
@@ -14,6 +14,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that are left without passages of 13 words of earlier documents."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page url: fixed rules, else its host's path-template tree.
 
@@ -62,6 +68,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_substrings": op2_substrings,
     "op3_urls": op3_urls,
     "op4_embeddings": op4_embeddings,
     "op5_mixing": op5_mixing,
