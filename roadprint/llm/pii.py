@@ -187,8 +187,8 @@ def scan(documents: DataFrame) -> DataFrame:
     repeated rows give repeated rows; other columns are ignored.
     """
     found = find(documents, [F.col("doc_id")])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
-              for k, name in enumerate(KINDS)]
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint")
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(as_text(F.col("base")), 256).alias("base_sha256"),
                         as_text(F.col("spans")).alias("spans"))
 

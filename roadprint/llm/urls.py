@@ -56,9 +56,10 @@ def segments(path: Column) -> Column:
 def templates(shapes: DataFrame) -> DataFrame:
     """``shapes(host, segs, n, lab, bad)`` with the template that each falls under.
 
-    Level by level, the branches of a node (host and template so far) are compared: one
-    stays literal if its share of bad pages differs from that of its siblings taken
-    together (two-share z test); all others are merged into a wildcard.
+    Level by level, the branches of a node (host and template so far) are compared with
+    their siblings taken together (two-share z test): those with clearly more bad pages are
+    merged into ``*+``, those with clearly fewer into ``*-`` and all others, unlabelled ones
+    too, into ``*``.  A branch alone in its class stays literal.
     """
     level = keep(shapes.withColumn("template", F.lit("")), "url-shapes")
     for depth in range(1, MAX_DEPTH + 2):
@@ -68,14 +69,19 @@ def templates(shapes: DataFrame) -> DataFrame:
             break
         branch = deeper.groupBy("host", "template", "seg").agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad"))
         node = branch.groupBy("host", "template").agg(
-            F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad"), F.count(F.lit(1)).alias("fan"))
+            F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad"))
         rest, share = F.col("all_lab") - F.col("lab"), F.try_divide("all_bad", "all_lab")
         gap = F.try_divide("bad", "lab") - F.try_divide(F.col("all_bad") - F.col("bad"), rest)
         spread = F.sqrt(share * (1 - share) * (F.try_divide(F.lit(1), F.col("lab")) + F.try_divide(F.lit(1), rest)))
-        apart = (F.col("lab") >= MIN_LABELS) & (rest >= MIN_LABELS) & (F.abs(gap) >= spread * Z_SCORE) & (gap != 0)
-        named = branch.join(node, ["host", "template"]).select(
-            "host", "template", "seg", F.when((F.col("fan") == 1) | F.coalesce(apart, F.lit(False)),
-                                              F.col("seg")).otherwise("*").alias("name"))
+        apart = F.coalesce((F.col("lab") >= MIN_LABELS) & (rest >= MIN_LABELS) & (F.abs(gap) >= spread * Z_SCORE)
+                           & (gap != 0), F.lit(False))
+        kind = F.when(apart, F.when(gap > 0, "*+").otherwise("*-")).otherwise("*")
+        sided = branch.join(node, ["host", "template"]).select("host", "template", "seg", kind.alias("name"))
+        alone = sided.groupBy("host", "template", "name").agg(
+            F.count(F.lit(1)).alias("members"), F.min("seg").alias("only"))
+        named = sided.join(alone, ["host", "template", "name"]).select(
+            "host", "template", "seg", F.when(F.col("members") == 1, F.col("only")).otherwise(F.col("name"))
+            .alias("name"))
         step = here.join(named, ["host", "template", "seg"], "left").select(
             "host", "segs", "n", "lab", "bad", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
                 F.concat("template", F.lit("/"), "name")).alias("template"))
