@@ -151,7 +151,9 @@ def features_from_steps(steps: DataFrame, names: list[str], smoothed: bool = Fal
         return a
     kin_hot = segments.segmented_kinematics(hot, smoothed, order, False, keys,
                                             segment_rows or segments.SEGMENT_ROWS)
-    return a.unionByName(trip_features_ranked(kin_hot, names, keys))
+    # approximate percentiles aggregate partially, so hot trips need no ranks for them
+    b = trip_features(kin_hot, names, keys, approx=True) if approx else trip_features_ranked(kin_hot, names, keys)
+    return a.unionByName(b)
 
 
 def features_vector(steps: DataFrame, vector: str, smoothed: bool = False, keys=None) -> DataFrame:

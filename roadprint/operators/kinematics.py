@@ -85,7 +85,7 @@ def kinematics(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER,
     if hot_rows is not None:
         from roadprint.operators import segments
         return segments.split_kinematics(steps, smoothed, order, wrap, keys, hot_rows,
-                                         segment_rows)
+                                         segment_rows, with_prev)
     w = trip_window(keys)
     return kinematics_frame(steps, w, smoothed, order, wrap, keys,
                             [c for c in steps.columns if c not in set(keys) | {"step", "x", "y"}],

@@ -63,9 +63,12 @@ def number_steps(hot: DataFrame, segment_rows: int, keys=None) -> DataFrame:
     offsets = counts.select(*keys, "_vseg",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = F.row_number().over(Window.partitionBy(*keys, "_vseg").orderBy("step"))
-    return (df.join(offsets, keys + ["_vseg"])
-              .withColumn("step_no", (F.col("_off") + local).cast("bigint"))
-              .drop("_vseg", "_off"))
+    # A null step has a segment of its own, placed first as the trip window places it.
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"o.{c}")) for c in keys + ["_vseg"]]
+    numbered = df.withColumn("_local", local).alias("d").join(offsets.alias("o"), same)
+    return (numbered.select("d.*", "o._off")
+              .withColumn("step_no", (F.col("_off") + F.col("_local")).cast("bigint"))
+              .drop("_vseg", "_off", "_local"))
 
 
 def with_halos(df: DataFrame, segment_rows: int, back: int, ahead: int) -> DataFrame:
@@ -129,14 +132,14 @@ def segmented_accel_events(hot: DataFrame, smoothed: bool = False, keys=None,
 
 
 def split_kinematics(steps: DataFrame, smoothed: bool, order: int, wrap: bool, keys,
-                     hot_rows: int, segment_rows: int | None) -> DataFrame:
+                     hot_rows: int, segment_rows: int | None, with_prev: bool = False) -> DataFrame:
     from roadprint.operators.kinematics import kinematics
     normal, hot = split_hot(steps, hot_rows, keys)
-    out = kinematics(normal, smoothed, order, wrap, keys, hot_rows=None)
+    out = kinematics(normal, smoothed, order, wrap, keys, hot_rows=None, with_prev=with_prev)
     if hot is None:
         return out
-    return out.unionByName(
-        segmented_kinematics(hot, smoothed, order, wrap, keys, segment_rows or SEGMENT_ROWS))
+    split = segmented_kinematics(hot, smoothed, order, wrap, keys, segment_rows or SEGMENT_ROWS, internal=with_prev)
+    return out.unionByName(split.drop("_seg"))
 
 
 def ranked_percentiles(kin: DataFrame, names: list[str], keys=None) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Every query reads the shared test tables through an adapter (whole tables,
 no id subsets), runs the library operators, and rounds doubles half-up to 4
-decimals with the same IEEE arithmetic as the oracle SQL.  Queries whose
-result depends on a learner have no SQL and are checked on rows only.
+decimals with the same IEEE arithmetic as the oracle SQL.  Queries that fit a
+model return its scored rows' counts, checked against SQL, and whether the fit
+is sound.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from roadprint.functions.columns import q4
 from roadprint.operators import (arrays, assembly, evaluation, events, features, fleet,
                                  kinematics, models, sampling)
 from roadprint.plans import oracle as O
-from roadprint.session import ensure_checkpoint_dir, shared_dir
+from roadprint.session import ensure_checkpoint_dir, materialize, shared_dir
 from roadprint.sources import files, testdata
 
 TARGET = 7          # the target driver of the single-target queries
@@ -74,7 +75,7 @@ def scan_steps_csv(spark, sf_dir):
     files.write_steps_csv(steps(spark, sf_dir), path)
     raw = files.read_steps_csv(spark, path)
     return raw.select(F.col("driverID").cast("bigint").alias("driver"),
-                      F.col("tripID").alias("trip"), "step", "x", "y")
+                      F.col("tripID").alias("trip"), F.col("step").cast("bigint").alias("step"), "x", "y")
 
 
 @query("steps_cast", _with(EV) + "SELECT driver, trip, CAST(step AS DOUBLE) AS step, x, y, "
@@ -99,7 +100,14 @@ def entity_catalogue(spark, sf_dir):
     return files.entity_catalogue(steps(spark, sf_dir))
 
 
-@query("metrics_roundtrip")
+@query("catalogue_from_files", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS driver FROM events")
+def catalogue_from_files(spark, sf_dir):
+    base = shared_dir(spark, "driver-names")
+    (steps(spark, sf_dir).select(F.concat(F.lit("driver_"), F.col("driver")).alias("file"), F.col("trip").alias("value"))
+     .write.partitionBy("file").text(base))
+    return files.catalogue_from_files(spark, f"{base}/*/*", use_parent=True)
+
+
 def metrics_roundtrip(spark, sf_dir):
     path = shared_dir(spark, "metrics")
     files.write_metrics(_metrics_record(spark, sf_dir), path)
@@ -140,10 +148,19 @@ def distinct_trips(spark, sf_dir):
     return sampling.trip_catalogue(steps(spark, sf_dir))
 
 
-@query("feature_vectors")
+_VECTOR_POS = " UNION ALL ".join(f"SELECT driver, trip, {i} AS pos, CAST({n} AS DOUBLE) AS v FROM f"
+                                 for i, n in enumerate(features.V1))
+
+
+@query("feature_vectors", "WITH " + O.features_ctes(list(features.V1)) + "\n" +
+       f"SELECT driver, trip, pos, {O.q('v', 'value')} FROM ({_VECTOR_POS}) WHERE v IS NOT NULL")
 def feature_vectors(spark, sf_dir):
+    """The assembled ML vectors, one row per position that holds a value."""
+    from pyspark.ml.functions import vector_to_array
     f = features.features_for_version(steps(spark, sf_dir), 1)
-    return features.assemble(f, features.V1).select("driver", "trip", "features")
+    v = features.assemble(f, features.V1).select("driver", "trip", vector_to_array("features").alias("features"))
+    rows = v.select("driver", "trip", F.posexplode("features").alias("pos", "value"))
+    return final(rows.where(~F.isnan("value")))
 
 
 # ---------------------------------------------------------------- sampling M1-M11, J1, U1
@@ -166,6 +183,20 @@ def sample_entities(spark, sf_dir):
     return sampling.sample_entities(files.entity_catalogue(steps(spark, sf_dir)), TARGET, K_ENTITIES)
 
 
+@query("scan_driver_paths", _with(EV, f"sd AS ({_M2_SQL.format(k=K_ENTITIES)})") +
+       "SELECT driver, trip, step, x, y FROM steps WHERE driver IN (SELECT driver FROM sd)")
+def scan_driver_paths(spark, sf_dir):
+    """Only the files of the drawn drivers are opened."""
+    base, st = shared_dir(spark, "driver-files"), steps(spark, sf_dir)
+    (st.select("driver", F.format_string("%s,%s,%s,%s,%s", "x", "y", "driver", "trip", "step").alias("value"))
+     .write.partitionBy("driver").text(base))
+    drawn = [r["driver"] for r in sampling.sample_entities(
+        files.entity_catalogue(st), TARGET, K_ENTITIES).collect()]
+    raw = files.read_steps_csv(spark, [f"{base}/driver={d}" for d in sorted(drawn)])  # K_ENTITIES at most
+    return raw.select(F.col("driverID").cast("bigint").alias("driver"), F.col("tripID").alias("trip"),
+                      F.col("step").cast("bigint").alias("step"), "x", "y")
+
+
 @query("bernoulli_trips", _with(EV) + "SELECT DISTINCT driver, trip FROM steps WHERE "
        f"{O.h(repr(str(O.SEED)), 'driver', 'trip')} < {O.u32_threshold(sampling.TRIP_FRACTION)}")
 def bernoulli_trips(spark, sf_dir):
@@ -618,15 +649,51 @@ def metrics_record(spark, sf_dir):
 _metrics_record = metrics_record  # S4 writes the same records
 
 
+query("metrics_roundtrip", SQL["metrics_record"])(metrics_roundtrip)
+
+
 # ---------------------------------------------------------------- models L1-L10
 
+MODEL_ADAPTER = "monthly"   # many trips per driver, so both halves hold both classes
+
 
 def _target_set(spark, sf_dir, version):
-    """One target's labelled trips with the version's features, split 70/30."""
-    st = steps(spark, sf_dir)
-    data, names = fleet.fleet_training_set(st, version, K)
-    data = data.where(F.col("target") == TARGET)
-    return sampling.split_train_test(data, cols=("target", "driver", "trip", "slot")), names
+    """One target's labelled trips with the version's features, split 70/30.
+
+    Only the steps of the target's own and drawn trips go into the features.
+    """
+    st = steps(spark, sf_dir, MODEL_ADAPTER)
+    labelled = materialize(sampling.fleet_labelled_trips(sampling.fleet_index(st), K)
+                           .where(F.col("target") == TARGET), "target-trips")
+    f = features.features_for_version(st.join(labelled.select("driver", "trip").distinct(), ["driver", "trip"],
+                                              "left_semi"), version, hot_rows=None)
+    data = labelled.join(f, ["driver", "trip"])
+    return (sampling.split_train_test(data, cols=("target", "driver", "trip", "slot")),
+            features.VERSIONS[version][1])
+
+
+def _summary(scored: DataFrame, by: list[str]) -> DataFrame:
+    """Per split and label: rows, predictions outside {0, 1}, and whether the fit is at least as
+    right on its training rows as always naming the larger class."""
+    got = scored.groupBy(*by, "split", F.col("label").cast("double").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("prediction").isNull() | ~F.col("prediction").isin(0.0, 1.0), 1)).alias("n_outside"),
+        F.count(F.when(F.col("prediction") == F.col("label"), 1)).alias("_right"))
+    fit = got.where("split = 'train'").groupBy(*by).agg((F.sum("_right") >= F.max("n")).alias("train_ok"))
+    return got.drop("_right").join(fit, by)
+
+
+def _summary_sql(by=("target",), grid="", where=""):
+    keys = ", ".join(by)
+    return (_with(O.steps_cte(MODEL_ADAPTER), O.fleet_labelled_ctes(K, sampling.FIRST_FOREIGN_ID),
+                  f"sp AS (SELECT target, CAST(label AS DOUBLE) AS label, CASE WHEN {_SPLIT_KEY} < "
+                  f"{O.u32_threshold(0.7)} THEN 'train' ELSE 'test' END AS split FROM labelled{where})")
+            + f"SELECT {keys}, split, label, count(*) AS n, CAST(0 AS BIGINT) AS n_outside, TRUE AS train_ok "
+            f"FROM sp{grid} GROUP BY {keys}, split, label")
+
+
+_ONE = f" WHERE target = {TARGET}"
+_GRID = (", (SELECT unnest([1, 2, 3, 4]) AS version) v, (SELECT unnest([5, 25, 45, 65, 85]) AS num_trees) t")
 
 
 @query("label_index", _with(EV, "trips AS (SELECT DISTINCT driver, trip FROM steps)",
@@ -639,29 +706,30 @@ def label_index(spark, sf_dir):
     return models.label_index(sampling.labelled_trips(steps(spark, sf_dir), TARGET))
 
 
-@query("gbt_minimal")
+@query("gbt_minimal", _summary_sql(where=_ONE))
 def gbt_minimal(spark, sf_dir):
     data, _ = _target_set(spark, sf_dir, 1)
-    return models.gbt_minimal(data)
+    return _summary(models.gbt_minimal(data, keep=("target", "driver", "trip", "slot")), ["target"])
 
 
-@query("gbt_fit_score")
+@query("gbt_fit_score", _summary_sql(where=_ONE))
 def gbt_fit_score(spark, sf_dir):
     data, names = _target_set(spark, sf_dir, 2)
-    return models.fit_score(data, names, models.gbt_pipeline(25))
+    return _summary(models.fit_score(data, names, models.gbt_pipeline(25),
+                                     keep=("target", "driver", "trip", "slot")), ["target"])
 
 
-@query("logistic_fit_score")
+@query("logistic_fit_score", _summary_sql(where=_ONE))
 def logistic_fit_score(spark, sf_dir):
     data, names = _target_set(spark, sf_dir, 1)
-    return models.fit_score(data, names, models.logistic_pipeline())
+    return _summary(models.fit_score(data, names, models.logistic_pipeline(),
+                                     keep=("target", "driver", "trip", "slot")), ["target"])
 
 
-def gbt_sweep_records(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.GBT_TREES),
-                      parallel: int = 8) -> DataFrame:
-    """Versions x tree counts.  Each version's training set is built and written
-    once; the fits of the grid run concurrently from a thread pool."""
-    from roadprint.session import materialize
+def gbt_sweep_scores(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.GBT_TREES),
+                     parallel: int = 8) -> DataFrame:
+    """Versions x tree counts for one driver with Spark ML.  Each version's training set is
+    built and written once; the fits of the grid run concurrently from a thread pool."""
     sets = {}
     for v in versions:
         data, names = _target_set(spark, sf_dir, v)
@@ -671,11 +739,8 @@ def gbt_sweep_records(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.G
         v, n = args
         data, names = sets[v]
         scored = models.fit_score(data, names, models.gbt_pipeline(n),
-                                  keep=("target", "driver", "trip"))
-        rec = (scored.drop("driver").withColumnRenamed("target", "driver")
-               .withColumn("version", F.lit(float(v))).withColumn("num_trees", F.lit(n))
-               .withColumn("heldout_set", F.lit(0)))
-        return materialize(evaluation.metrics_record(rec), "sweep-record")
+                                  keep=("target", "driver", "trip", "slot"))
+        return materialize(scored.withColumn("version", F.lit(v)).withColumn("num_trees", F.lit(n)), "sweep-scores")
     grid = [(v, n) for v in versions for n in trees]
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         parts = list(pool.map(one, grid))
@@ -685,28 +750,73 @@ def gbt_sweep_records(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.G
     return out
 
 
-@query("gbt_sweep")
+@query("gbt_sweep", _summary_sql(("target", "version", "num_trees"), _GRID, _ONE))
 def gbt_sweep(spark, sf_dir):
-    return gbt_sweep_records(spark, sf_dir)
+    return _summary(gbt_sweep_scores(spark, sf_dir), ["target", "version", "num_trees"])
 
 
-@query("fleet_fit_score")
+def _fleet_scores(spark, sf_dir, version, **options):
+    data, names = fleet.fleet_training_set(steps(spark, sf_dir, MODEL_ADAPTER), version, K)
+    data = sampling.split_train_test(data, cols=("target", "driver", "trip", "slot"))
+    return fleet.fit_predict_fleet(data, names, **options)
+
+
+@query("fleet_fit_score", _summary_sql())
 def fleet_fit_score(spark, sf_dir):
-    st = steps(spark, sf_dir)
-    data, names = fleet.fleet_training_set(st, 1, K)
+    return _summary(_fleet_scores(spark, sf_dir, 1, n_trees=25), ["target"])
+
+
+@query("fleet_fit_entities", "WITH x AS (SELECT 1), " + _with(
+    O.steps_cte(MODEL_ADAPTER), O.fleet_entities_ctes(K_ENTITIES, 40 * K_ENTITIES)).removeprefix("WITH ") +
+       "SELECT driver AS target, count(DISTINCT trip) AS n_own, CAST(0 AS BIGINT) AS n_outside FROM steps GROUP BY driver")
+def fleet_fit_entities(spark, sf_dir):
+    """The main sampler (drivers without replacement, then a share of their trips) with a fit on it."""
+    data, names = fleet.fleet_training_set(steps(spark, sf_dir, MODEL_ADAPTER), 1, K_ENTITIES, sampler="entities")
     data = sampling.split_train_test(data, cols=("target", "driver", "trip", "slot"))
-    pred = fleet.fit_predict_fleet(data, names, n_trees=25)
-    rec = (pred.withColumnRenamed("target", "tgt").drop("driver").withColumnRenamed("tgt", "driver")
-           .withColumn("version", F.lit(1.0)).withColumn("num_trees", F.lit(25))
-           .withColumn("heldout_set", F.lit(0)))
-    return evaluation.metrics_record(rec)
+    scored = fleet.fit_predict_fleet(data, names, n_trees=25)
+    return scored.groupBy("target").agg(
+        F.count(F.when(F.col("label") == 1, 1)).alias("n_own"),
+        F.count(F.when(F.col("prediction").isNull() | ~F.col("prediction").isin(0.0, 1.0), 1)).alias("n_outside"))
+
+
+_SWEEP_COUNTS = ", ".join(f"{_cnt(f'split = {s!r} AND label = {y}')} AS {s}_{n}_count"
+                          for s in ("test", "train") for y, n in ((1, "positive"), (0, "negative")))
 
 
-@query("foreign_trips")
+@query("fleet_sweep", _summary_sql(where="").split("SELECT target, split, label, count(*)")[0] +
+       "SELECT target AS driver, version, num_trees, 0 AS heldout_set, " + _SWEEP_COUNTS +
+       f" FROM sp{_GRID} GROUP BY target, version, num_trees")
+def fleet_sweep(spark, sf_dir):
+    """Versions x tree counts for every driver, appended to the CSV metrics sink: 20 records each.
+
+    A version's input is written once and fitted once; smaller tree counts are prefixes.
+    """
+    path = shared_dir(spark, "fleet-sweep")
+    for v in (1, 2, 3, 4):
+        scored = _fleet_scores(spark, sf_dir, v, counts=tuple(models.GBT_TREES))
+        rec = (scored.drop("driver").withColumnRenamed("target", "driver")
+               .withColumn("version", F.lit(float(v))).withColumn("heldout_set", F.lit(0)))
+        files.write_metrics(evaluation.metrics_record(rec), path, fmt="csv")
+    back = files.read_metrics(spark, path, fmt="csv")
+    return back.select(F.col("driver").cast("bigint").alias("driver"), F.col("version").cast("int").alias("version"),
+                       F.col("num_trees").cast("int").alias("num_trees"),
+                       F.col("heldout_set").cast("int").alias("heldout_set"),
+                       *[F.col(f"{s}_{n}_count").cast("bigint").alias(f"{s}_{n}_count")
+                         for s in ("test", "train") for n in ("positive", "negative")])
+
+
+@query("foreign_trips", _with(O.steps_cte(MODEL_ADAPTER)) +
+       "SELECT driver AS target, half, CAST(CASE WHEN half = 1 THEN (n + 1) // 2 ELSE n // 2 END AS BIGINT) AS n, "
+       "CAST(0 AS BIGINT) AS n_outside, CAST(0 AS BIGINT) AS n_mismatch FROM "
+       "(SELECT driver, count(DISTINCT trip) AS n FROM steps GROUP BY driver), "
+       "(SELECT unnest([1, 2]) AS half) WHERE half = 1 OR n > 1")
 def foreign_trips(spark, sf_dir):
-    st = steps(spark, sf_dir)
-    data, names = fleet.fleet_training_set(st, 1, K)
-    return fleet.foreign_trips(data, names, n_trees=25)
+    data, names = fleet.fleet_training_set(steps(spark, sf_dir, MODEL_ADAPTER), 1, K)
+    got = fleet.foreign_trips(data, names, n_trees=25)
+    return got.groupBy("target", "half").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("prediction").isNull() | ~F.col("prediction").isin(0.0, 1.0), 1)).alias("n_outside"),
+        F.count(F.when(F.col("flagged") != (F.col("prediction") == 0.0), 1)).alias("n_mismatch"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -48,7 +48,18 @@ def lineitem_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.row_number().over(w).cast("bigint").alias("step"), "x", "y")
 
 
-ADAPTERS = {"events": events_steps, "lineitem": lineitem_steps}
+def monthly_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many trips per driver: a supplier's line items of one ship month are a trip."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("driver"), F.date_format("l_shipdate", "yyyy-MM").alias("trip"),
+        "l_shipdate", "l_orderkey", "l_partkey", "l_linenumber",
+        (F.col("l_extendedprice") / 1000.0).alias("x"), F.col("l_quantity").alias("y"))
+    w = (Window.partitionBy("driver", "trip")
+         .orderBy("l_shipdate", "l_orderkey", "l_partkey", "l_linenumber"))
+    return li.select("driver", "trip", F.row_number().over(w).cast("bigint").alias("step"), "x", "y")
+
+
+ADAPTERS = {"events": events_steps, "lineitem": lineitem_steps, "monthly": monthly_steps}
 
 # Same adapters as SQL text, for the DuckDB oracle.
 EVENTS_STEPS_SQL = """
@@ -66,4 +77,6 @@ SELECT l_suppkey AS driver, l_returnflag || l_linestatus AS trip,
        l_quantity AS y
 FROM lineitem"""
 
-ADAPTERS_SQL = {"events": EVENTS_STEPS_SQL, "lineitem": LINEITEM_STEPS_SQL}
+MONTHLY_STEPS_SQL = LINEITEM_STEPS_SQL.replace("l_returnflag || l_linestatus", "strftime(l_shipdate, '%Y-%m')")
+
+ADAPTERS_SQL = {"events": EVENTS_STEPS_SQL, "lineitem": LINEITEM_STEPS_SQL, "monthly": MONTHLY_STEPS_SQL}

@@ -65,6 +65,38 @@ def test_catalogue_from_file_names(spark):
     # Spark writes part files inside each driver_<id>.csv folder: the id is the folder's digits
     cat = files.catalogue_from_files(spark, f"{base}/*/*.csv", use_parent=True)
     assert sorted(r["driver"] for r in cat.collect()) == ["11", "3"]
+    with open(f"{base.removeprefix('file:')}/driver_77.csv", "w"):
+        pass  # an empty file names a driver too
+    flat = files.catalogue_from_files(spark, f"{base}/driver_77.csv")
+    assert [r["driver"] for r in flat.collect()] == ["77"]
     paths = files.driver_csv_paths(base, [11, 3, 3])
     assert paths == [f"{base}/driver_11.csv", f"{base}/driver_3.csv"]
     assert files.read_steps_csv(spark, paths).select("driverID").distinct().count() == 2
+
+
+def test_fractional_steps_are_kept(spark):
+    p = shared_dir(spark, "fraction")
+    spark.createDataFrame([("1.0,2.0,7,a,3.0",), ("1.5,2.5,7,a,4",)], "value string").write.text(p)
+    assert sorted(r["step"] for r in files.read_steps_csv(spark, p).collect()) == [3.0, 4.0]
+
+
+def test_logistic_has_two_classes(spark):
+    from roadprint.operators import models
+    rows = [(i, "t", float(i % 2), "train", float(i), float(i % 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "driver long, trip string, label double, split string, f double, g double")
+    got = models.fit_score(df, ["f", "g"], models.logistic_pipeline())
+    assert got.count() == 60 and got.where("prediction not in (0.0, 1.0)").count() == 0
+    own = df.where("label = 1.0")  # one class only: the meaning of the labels stays
+    for stages in (models.logistic_pipeline(), models.gbt_pipeline(2)):
+        assert {r["prediction"] for r in models.fit_score(own, ["f", "g"], stages).collect()} == {1.0}
+
+
+def test_hot_path_keeps_null_steps_and_previous_acceleration(spark):
+    from roadprint.operators import kinematics
+    rows = [(1, "a", None if i == 30 else i * 7, float(i * i % 11), float(i % 5)) for i in range(60)]
+    st = spark.createDataFrame(rows, "driver long, trip string, step long, x double, y double")
+    whole = kinematics.kinematics(st, hot_rows=None, with_prev=True)
+    cut = kinematics.kinematics(st, hot_rows=10, segment_rows=9, with_prev=True)
+    assert cut.count() == 60 and "_a_prev" in cut.columns
+    key = lambda df: sorted(str(tuple(r)) for r in df.select(sorted(whole.columns)).collect())
+    assert key(whole) == key(cut)
