@@ -80,7 +80,7 @@ def dense_index_total(df: DataFrame, order_cols: list[str], out: str = "pos",
 
     Built without a single-task sort: the rows are range-partitioned, sorted
     inside each partition, numbered locally, and shifted by the sizes of the
-    earlier partitions.  Only one number per partition reaches the driver.
+    earlier partitions, a joined table of one row per partition.
     The numbered rows are written once as a table in the shared folder, so
     both passes see the same range bounds and a lost executor recomputes
     nothing upstream.  Returns the indexed rows and the total row count.
@@ -96,13 +96,10 @@ def dense_index_total(df: DataFrame, order_cols: list[str], out: str = "pos",
                    - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
        .write.parquet(path))
     ranged = spark.read.parquet(path)
-    sizes = dict(ranged.groupBy("_pid").count().collect())
-    offsets, acc = [], 0
-    for pid in range(max(sizes, default=-1) + 1):
-        offsets.append(acc)
-        acc += sizes.get(pid, 0)
-    if not offsets:
-        return ranged.drop("_pid", "_loc").withColumn(out, F.lit(None).cast("bigint")), 0
-    table = F.array(*[F.lit(o).cast("bigint") for o in offsets])
-    return (ranged.withColumn(out, F.element_at(table, F.col("_pid") + 1) + F.col("_loc"))
-                  .drop("_pid", "_loc")), acc
+    # one row per partition: numbered by a running sum, then joined back
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    out_rows = (ranged.join(F.broadcast(offsets), "_pid")  # at most n rows
+                .withColumn(out, (F.col("_off") + F.col("_loc")).cast("bigint")).drop("_pid", "_loc", "_off"))
+    return out_rows, ranged.count()
