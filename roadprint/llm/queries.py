@@ -104,6 +104,22 @@ SELECT doc_id, size, source_size, target, CAST(epochs AS BIGINT) AS epochs,
     CAST(size * epochs + greatest(0, least(size, remainder - before)) AS BIGINT) AS taken FROM r
 """
 
+# A window goes if its words also start in a document with a smaller id (null: after all others).
+SUBSTRINGS_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS rank,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+word AS (SELECT r, rank, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p,
+    unnest(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN i + 12 <= len(w)
+        THEN array_to_string(w[i:i + 12], ' ') END)) AS k FROM d),
+seen AS (SELECT r, word, p, k IS NOT NULL AND rank > min(rank) OVER (PARTITION BY k) AS again FROM word),
+cut AS (SELECT r, word, p, bool_or(again) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN 12 PRECEDING AND CURRENT ROW)
+    AS gone FROM seen),
+kept AS (SELECT r, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS t FROM cut GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""
+
 WARC_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 q AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
@@ -114,4 +130,4 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN payload_bytes >= 1000 AND last_id IS DISTINCT FROM page_id THEN last_id END AS refers_to FROM m
 """
 
-ORACLE_SQL = {"op5_mixing": MIXING_SQL, "op7_warc": WARC_SQL}
+ORACLE_SQL = {"op2_substrings": SUBSTRINGS_SQL, "op5_mixing": MIXING_SQL, "op7_warc": WARC_SQL}

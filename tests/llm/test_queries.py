@@ -21,7 +21,7 @@ def test_every_operator_is_registered():
     assert all(sum(n.startswith(p) for n in names) == 1 for p in NAMES) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op5_mixing", "op7_warc"])
+@pytest.mark.parametrize("name", ["op2_substrings", "op5_mixing", "op7_warc"])
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages"):
