@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from roadprint.operators import evaluation, events, features, fleet, kinematics, sampling  # noqa: E402
+from roadprint.plans import registry  # noqa: E402
 from roadprint.session import get_session  # noqa: E402
 from roadprint.sources import testdata  # noqa: E402
 
@@ -71,6 +72,9 @@ def main():
         "fleet_fit_score": fleet_fit,
         "fleet_sampled_trips": lambda: sampling.fleet_sampled_trips(sampling.fleet_index(li())),
         "foreign_trips": foreign,
+        "half_split": lambda: sampling.half_split(
+            sampling.fleet_labelled_trips(sampling.fleet_index(li())).drop("trip_no")),
+        "gbt_fit_score": lambda: registry.QUERIES["gbt_fit_score"](spark, current["dir"]),
     }
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
