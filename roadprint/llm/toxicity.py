@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,15 +21,15 @@ DECAY = 3e-6  # pull of subword vectors towards zero
 FIT_ROWS_PER_CLASS = 2000  # bound of the labelled sample
 PAD_WORDS = 10  # neutral words added to every text, so that one odd word does not decide a short one
 MAX_WORD = 40  # characters of a word that give n-grams: a longer word is cut in words of this length
-WORDS_HELD = 400_000  # words a task remembers; then it starts afresh
+WORDS_HELD = 800_000  # words a task remembers; then it starts afresh
 TOKEN = re.compile(r"[^\W_]{1,%d}" % MAX_WORD)
 
 
 def subwords(word: str) -> list[int]:
     """Buckets of the word itself and its character n-grams."""
     marked = f"<{word}>"
-    grams = {marked} | {marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
-    return [zlib.crc32(g.encode("utf-8")) % BUCKETS for g in sorted(grams)]
+    grams = dict.fromkeys([marked] + [marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)])
+    return [zlib.crc32(g.encode("utf-8")) % BUCKETS for g in grams]
 
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -45,7 +46,7 @@ class _Bags:
             order = np.argsort(key, kind="stable")
             k = key[order]
             starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, int)
-            self.sides.append((k[starts], starts, other[order], weights[order][:, None]))
+            self.sides.append((k[starts], starts, other[order].astype(np.int32), weights[order][:, None]))
 
     def _apply(self, side: int, table: np.ndarray) -> np.ndarray:
         at, starts, other, w = self.sides[side]
@@ -73,7 +74,7 @@ def fit(texts: list[str], labels: list[int], weights: list[float], epochs: int =
     counts = [Counter(TOKEN.findall(t.lower())) for t in texts]
     seen = Counter(w for c in counts for w in c)
     vocab = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n > 1))}
-    rows, cols, vals = [], [], []
+    rows, cols, vals = array("i"), array("i"), array("f")  # packed: lists of numbers would fill the driver
     for i, c in enumerate(counts):
         n = c.total() + PAD_WORDS
         for w, k in c.items():
@@ -81,14 +82,17 @@ def fit(texts: list[str], labels: list[int], weights: list[float], epochs: int =
                 rows.append(i)
                 cols.append(vocab[w])
                 vals.append(k / n)
-    docs = _Bags(np.array(rows, np.int64), np.array(cols, np.int64), np.array(vals, np.float32),
-                 (len(texts), len(vocab)))
-    subs = [subwords(w) for w in vocab]
-    at = np.repeat(np.arange(len(subs)), [len(s) for s in subs]) if subs else np.zeros(0, np.int64)
-    bucket = np.array([b for s in subs for b in s], np.int64)
-    used, bucket = np.unique(bucket, return_inverse=True)
-    share = np.array([1 / len(s) for s in subs for _ in s], np.float32)
-    words = _Bags(at, bucket, share, (len(vocab), len(used)))
+    del counts, seen
+    docs = _Bags(np.array(rows), np.array(cols), np.array(vals), (len(texts), len(vocab)))
+    at, bucket, share = array("i"), array("i"), array("f")
+    for i, w in enumerate(vocab):
+        grams = subwords(w)
+        at.extend([i] * len(grams))
+        bucket.extend(grams)
+        share.extend([1 / len(grams)] * len(grams))
+    used, bucket = np.unique(np.array(bucket), return_inverse=True)
+    words = _Bags(np.array(at), bucket.astype(np.int32), np.array(share), (len(vocab), len(used)))
+    del rows, cols, vals, at, bucket, share
     rng = np.random.default_rng(seed)
     y = np.array(labels, np.float32)
     w8 = np.array(weights, np.float32)
@@ -120,7 +124,7 @@ class Scorer:
     """Scores whole texts with a fitted model; remembers the logits of words it has met."""
 
     def __init__(self, model: dict):
-        self.logits, self.bias = model["logits"], model["bias"]
+        self.logits, self.bias = model["logits"].tolist(), model["bias"]
         self.held: dict[str, float] = {}
 
     def __call__(self, text: str | None) -> float:
@@ -131,7 +135,8 @@ class Scorer:
         for w in words:
             got = held.get(w)
             if got is None:
-                got = held[w] = float(self.logits[subwords(w)].mean())
+                grams = subwords(w)
+                got = held[w] = sum(map(self.logits.__getitem__, grams)) / len(grams)
             total += got
         z = self.bias + total / (len(words) + PAD_WORDS)
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
