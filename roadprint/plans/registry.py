@@ -473,8 +473,7 @@ def kinematics_lineitem(spark, sf_dir):
 
 def _feat_query(name, names, smoothed=False, adapter="events"):
     def fn(spark, sf_dir):
-        k = kin(spark, sf_dir, smoothed, adapter)
-        return final(features.trip_features(k, names))
+        return final(features.features_from_steps(steps(spark, sf_dir, adapter), names, smoothed))
     query(name, O.features_query(names, smoothed, adapter))(fn)
 
 
@@ -531,7 +530,7 @@ def _events_sql(select, adapter="events"):
 
 @query("accel_events", _events_sql(f"SELECT {O.EVENT_COLS} FROM events"))
 def accel_events(spark, sf_dir):
-    return final(events.accel_events(kin(spark, sf_dir)))
+    return final(events.events_from_steps(steps(spark, sf_dir)))
 
 
 @query("accel_events_positive", _events_sql(f"SELECT {O.EVENT_COLS} FROM events WHERE sign = 1"))
@@ -576,7 +575,7 @@ def accel_events_split_lineitem(spark, sf_dir):
 
 @query("accel_events_lineitem", _events_sql(f"SELECT {O.EVENT_COLS} FROM events", "lineitem"))
 def accel_events_lineitem(spark, sf_dir):
-    return final(events.accel_events(kin(spark, sf_dir, adapter="lineitem")))
+    return final(events.events_from_steps(steps(spark, sf_dir, "lineitem")))
 
 
 # ---------------------------------------------------------------- evaluation E1-E5

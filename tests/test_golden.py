@@ -196,3 +196,18 @@ def test_approx_percentiles_close_to_exact(spark):
     approx = features.trip_features(kin, features.PCT7, approx=True).collect()[0]
     for n in features.PCT7:
         assert abs(exact[n] - approx[n]) <= 0.05 * max(1.0, abs(exact[n])) + 1.0, n
+
+
+def test_fixed_values():
+    """Levels, thresholds and feature order, written out here so that no shared constant can drift."""
+    from roadprint.functions import columns
+    from roadprint.operators import models
+    assert columns.PERCENT_LEVELS == [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7,
+                                      0.75, 0.8, 0.85, 0.9, 0.95]
+    assert (columns.MA_ORDER, columns.STOP_SPEED, columns.MPS_TO_MPH, columns.BAND_MPH) == (10, 0.5, 2.23694, 15.0)
+    assert models.GBT_TREES == [5, 25, 45, 65, 85] and models.LABELS == ["0.0", "1.0"]
+    assert features.V1 == ["min_v", "max_v", "min_a", "max_a", "trip_length", "mean_v", "std_v", "mean_a", "std_a",
+                           "mean_pos_a", "std_pos_a", "mean_neg_a", "std_neg_a", "mean_ang_vel", "std_ang_vel",
+                           "mean_tan_acc", "std_tan_acc", "mean_jerk", "std_jerk", "time_stop"]
+    assert features.V2[-20:] == features.V1 and features.V2[:2] == ["v_p05", "v_p10"] and len(features.V2) == 153
+    assert {v: s for v, (s, _) in features.VERSIONS.items()} == {1: False, 2: False, 3: True, 4: True}
