@@ -32,10 +32,6 @@ def subwords(word: str) -> list[int]:
     return [zlib.crc32(g.encode("utf-8")) % BUCKETS for g in grams]
 
 
-def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values, starts, axis=0)
-
-
 class _Bags:
     """Sparse averages ``out[i] = sum_j weight_ij table[j]`` and their transpose, by sorted runs."""
 
@@ -52,7 +48,9 @@ class _Bags:
         at, starts, other, w = self.sides[side]
         out = np.zeros((self.shape[side], table.shape[1]), np.float32)
         if len(starts):
-            out[at] = _sums(table[other] * w, starts)
+            terms = table[other]
+            terms *= w
+            out[at] = np.add.reduceat(terms, starts, axis=0)
         return out
 
     def mean(self, table: np.ndarray) -> np.ndarray:
@@ -71,19 +69,22 @@ def fit(texts: list[str], labels: list[int], weights: list[float], epochs: int =
     Words of a single document of the sample are left out of the fit; when scoring, they
     get their n-grams' vectors like any unseen word.
     """
-    counts = [Counter(TOKEN.findall(t.lower())) for t in texts]
-    seen = Counter(w for c in counts for w in c)
-    vocab = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n > 1))}
+    number: dict[str, int] = {}  # every word of the sample, in order of appearance
     rows, cols, vals = array("i"), array("i"), array("f")  # packed: lists of numbers would fill the driver
-    for i, c in enumerate(counts):
+    for i, t in enumerate(texts):
+        c = Counter(TOKEN.findall(t.lower()))
         n = c.total() + PAD_WORDS
-        for w, k in c.items():
-            if w in vocab:
-                rows.append(i)
-                cols.append(vocab[w])
-                vals.append(k / n)
-    del counts, seen
-    docs = _Bags(np.array(rows), np.array(cols), np.array(vals), (len(texts), len(vocab)))
+        rows.extend([i] * len(c))
+        cols.extend([number.setdefault(w, len(number)) for w in c])
+        vals.extend([k / n for k in c.values()])
+    rows, cols, vals = np.array(rows), np.array(cols), np.array(vals)
+    often = np.bincount(cols, minlength=len(number)) > 1
+    vocab = [w for w, o in zip(number, often) if o]
+    del number
+    kept = often[cols] if len(cols) else np.zeros(0, bool)
+    place = np.cumsum(often) - 1
+    docs = _Bags(rows[kept], place[cols[kept]].astype(np.int32), vals[kept], (len(texts), len(vocab)))
+    del rows, cols, vals, kept, place
     at, bucket, share = array("i"), array("i"), array("f")
     for i, w in enumerate(vocab):
         grams = subwords(w)
@@ -92,7 +93,7 @@ def fit(texts: list[str], labels: list[int], weights: list[float], epochs: int =
         share.extend([1 / len(grams)] * len(grams))
     used, bucket = np.unique(np.array(bucket), return_inverse=True)
     words = _Bags(np.array(at), bucket.astype(np.int32), np.array(share), (len(vocab), len(used)))
-    del rows, cols, vals, at, bucket, share
+    del at, bucket, share
     rng = np.random.default_rng(seed)
     y = np.array(labels, np.float32)
     w8 = np.array(weights, np.float32)
