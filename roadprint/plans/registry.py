@@ -653,6 +653,7 @@ query("metrics_roundtrip", SQL["metrics_record"])(metrics_roundtrip)
 
 # ---------------------------------------------------------------- models L1-L10
 
+ONE_TARGET = 1   # partitions of one target's set: its own trips and K draws
 MODEL_ADAPTER = "monthly"   # many trips per driver, so both halves hold both classes
 
 
@@ -708,21 +709,21 @@ def label_index(spark, sf_dir):
 @query("gbt_minimal", _summary_sql(where=_ONE))
 def gbt_minimal(spark, sf_dir):
     data, _ = _target_set(spark, sf_dir, 1)
-    return _summary(models.gbt_minimal(data, keep=("target", "driver", "trip", "slot")), ["target"])
+    return _summary(models.gbt_minimal(data, keep=("target", "driver", "trip", "slot"), partitions=ONE_TARGET), ["target"])
 
 
 @query("gbt_fit_score", _summary_sql(where=_ONE))
 def gbt_fit_score(spark, sf_dir):
     data, names = _target_set(spark, sf_dir, 2)
     return _summary(models.fit_score(data, names, models.gbt_pipeline(25),
-                                     keep=("target", "driver", "trip", "slot")), ["target"])
+                                     keep=("target", "driver", "trip", "slot"), partitions=ONE_TARGET), ["target"])
 
 
 @query("logistic_fit_score", _summary_sql(where=_ONE))
 def logistic_fit_score(spark, sf_dir):
     data, names = _target_set(spark, sf_dir, 1)
     return _summary(models.fit_score(data, names, models.logistic_pipeline(),
-                                     keep=("target", "driver", "trip", "slot")), ["target"])
+                                     keep=("target", "driver", "trip", "slot"), partitions=ONE_TARGET), ["target"])
 
 
 def gbt_sweep_scores(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.GBT_TREES),
@@ -738,7 +739,7 @@ def gbt_sweep_scores(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.GB
         v, n = args
         data, names = sets[v]
         scored = models.fit_score(data, names, models.gbt_pipeline(n),
-                                  keep=("target", "driver", "trip", "slot"))
+                                  keep=("target", "driver", "trip", "slot"), partitions=ONE_TARGET)
         return materialize(scored.withColumn("version", F.lit(v)).withColumn("num_trees", F.lit(n)), "sweep-scores")
     grid = [(v, n) for v in versions for n in trees]
     with ThreadPoolExecutor(max_workers=parallel) as pool:
