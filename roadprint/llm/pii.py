@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadprint.llm.common import keep
+from roadprint.llm.common import forget, keep
 
 KINDS = ["email", "ip", "card", "phone"]
 CANDIDATE = len(KINDS)  # kind number of identifier-like words that no fixed shape holds
+RUN = CANDIDATE + 1  # of runs of digit groups, over several words
 
 # The seed shapes, in Java's syntax.  Possessive repeats give the same
 # matches (no repeat could give back a character and still match), without deep recursion
@@ -22,23 +23,26 @@ SHAPES = [
     r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     r"[0-9](?:[\x20-]?[0-9])++",
     r"\+[0-9][\x20().0-9-]+[0-9]",
-    r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+",
+    r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@\[(]*+(?:(?:\[(?!at\])|\((?!at\)))[^\x20\x09-\x0D0-9@\[(]*+)*+"
+    r"(?:[0-9@]|\[at\]|\(at\))[^\x20\x09-\x0D]*+",
+    r"(?<![\p{L}\p{N}])(?:\+\(?|\()?+[0-9](?:\)?+[\x20./-]?+\(?+[0-9]){8,}+",
 ]
 # A text without this holds no valid match of the shape.
-NEEDS = [r"@", r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", r"[0-9](?:[\x20-]?+[0-9]){12}", r"\+[0-9]", r"[0-9@]"]
+NEEDS = [r"@", r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", r"[0-9](?:[\x20-]?+[0-9]){12}", r"\+[0-9]", r"[0-9@]|\[at\]|\(at\)",
+         r"[0-9](?:\)?+[\x20./-]?+\(?+[0-9]){8}"]
 
 # What an unseen identifier of a kind may look like, once punctuation around it is dropped.
 LOOSE = [
     r"^[A-Za-z0-9._%+-]+(?:@|\[at\]|\(at\))[A-Za-z0-9-]+(?:(?:\.|\[dot\]|\(dot\))[A-Za-z0-9-]+)*$",
     r"^(?:[0-9]{1,3}[._:-]){3}[0-9]{1,3}$|^(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}$",
-    r"^(?:[0-9][._/-]?){12,18}[0-9]$",
-    r"^\(?[0-9](?:[().0-9/-]?[0-9]){8,14}$",
+    r"^(?:[0-9][\x20._/-]?){12,18}[0-9]$",
+    r"^\(?[0-9](?:[().0-9/-]?[0-9]){8,14}$|^\+?\(?[0-9](?:\)?[\x20./-]?\(?[0-9]){8,14}$",
 ]
 AROUND = 64  # characters kept on either side of a match to take its context words from
 MIN_SEEDS = 3  # distinct known identifiers that a pattern needs
 PATTERN_SCORE = 0.75  # score from which a pattern counts
 INSTANCE_SCORE = 0.75  # score from which an unseen identifier is taken
-ROUNDS = 3
+SETTLED = 3  # decimals of the summed scores that a round must leave as they are to be the last
 
 
 def _hits(text: Column, kind: int) -> Column:
@@ -47,7 +51,8 @@ def _hits(text: Column, kind: int) -> Column:
     pieces = F.split(text, SHAPES[kind], -1)
     left = F.zip_with(pieces, found, lambda p, m: F.struct(
         F.lit(kind).alias("kind"), F.length(p).alias("gap"), m.alias("m"), F.right(p, F.lit(AROUND)).alias("l")))
-    both = F.zip_with(left, F.slice(pieces, 2, F.lit(2147483647)), lambda a, p: F.struct(
+    # 2^31 - 1 as a length overflows where slice is interpreted, as inside zip_with, and gives an empty array.
+    both = F.zip_with(left, F.slice(pieces, F.lit(2), F.size(pieces)), lambda a, p: F.struct(
         a["kind"].alias("kind"), a["gap"].alias("gap"), a["m"].alias("m"), a["l"].alias("l"),
         F.left(p, F.lit(AROUND)).alias("r")))
     return F.when(text.rlike(NEEDS[kind]), F.filter(both, lambda x: x["m"].isNotNull()))
@@ -73,10 +78,28 @@ def _valid(kind: Column, m: Column) -> Column:
             .when(kind == 3, F.length(digits).between(9, 15)).otherwise(False))
 
 
+def _core(m: Column) -> Column:
+    """A word without the punctuation around it."""
+    return F.regexp_replace(m, r"^[^\p{L}\p{N}+(]++|[^\p{L}\p{N}]++$", "")
+
+
+def _loose(value: Column) -> Column:
+    """The kind that an unseen identifier looks like, or null."""
+    return F.coalesce(*[F.when(value.rlike(s), F.lit(k)) for k, s in enumerate(LOOSE)])
+
+
+def _whole(m: Column, right: Column) -> Column:
+    """Whether a run of digit groups is a candidate: several words, none an identifier alone, none cut."""
+    words = F.split(m, " ")
+    return (F.size(words) > 1) & ~F.coalesce(right, F.lit("")).rlike(r"^[\p{L}\p{N}]") & ~F.exists(
+        words, lambda w: _loose(_core(w)).isNotNull())
+
+
 def matches(documents: DataFrame, carry: list[Column]) -> tuple[DataFrame, DataFrame]:
     """Written rows (row, carried columns), and every match of every shape with its position.
 
-    Matches: (row, kind, m, start, stop, l, r, valid); ``start`` and ``stop`` in code points.
+    Matches: (row, kind, m, start, stop, l, r, part, valid); ``start`` and ``stop`` in code
+    points; ``part`` marks single words of a run that is a candidate.
     Regular expressions give the matches and the text between them; running sums of the
     lengths give positions, per row and shape.
     """
@@ -86,10 +109,16 @@ def matches(documents: DataFrame, carry: list[Column]) -> tuple[DataFrame, DataF
     rows = keep(documents.select(*carry, text.alias("_text")).select(
         F.monotonically_increasing_id().alias("row"), *[c for c in _names(documents, carry)],
         hits.alias("hits")), "pii-hits")
-    one = rows.select("row", F.posexplode("hits").alias("at", "h")).select("row", "at", "h.*")
+    one = rows.select("row", F.posexplode("hits").alias("at", "h")).select("row", "at", "h.*").repartition("row")
     w = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stop = F.sum(F.col("gap") + F.length("m")).over(w)
     placed = one.withColumn("stop", stop).withColumn("start", F.col("stop") - F.length("m"))
+    placed = placed.where((F.col("kind") != RUN) | _whole(F.col("m"), F.col("r")))
+    is_run = F.col("kind") == RUN
+    reach = F.max(F.when(is_run, F.col("stop"))).over(
+        Window.partitionBy("row").orderBy(F.when(is_run, F.col("start")).otherwise(F.col("stop")), "kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = placed.withColumn("part", (F.col("kind") == CANDIDATE) & F.coalesce(reach > F.col("start"), F.lit(False)))
     return rows.drop("hits"), placed.withColumn("valid", _valid(F.col("kind"), F.col("m"))).drop("gap", "at")
 
 
@@ -113,27 +142,29 @@ def _patterns(found: DataFrame) -> DataFrame:
         F.when(one != "", F.concat(F.lit("1:"), one))), lambda p: p.isNotNull())).alias("pattern"))
 
 
-def learn(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def learn(found: DataFrame) -> DataFrame:
     """Unseen identifiers (kind, value) that high-confidence patterns vouch for.
 
     The graph joins lexical patterns and the identifier-like values seen in them.  Valid
     matches of the fixed shapes are seeds of score 1; a pattern's score for a kind is the
     summed score of its values of that kind over one more than its number of distinct
     values; an unseen value's score is 1 - product(1 - score) over the patterns that count
-    (score and distinct known values high enough).  Scores are iterated; found values are
-    known in the next round.  Counts are partial aggregates, so a frequent pattern is no
-    hot group.
+    (score and distinct known values high enough).  Found values are known in the next
+    round; scores only rise, and rounds end once no value is new and the scores stay.  The
+    single words of a run of digit groups are judged as part of the run only.  Counts are partial
+    aggregates, so a frequent pattern is no hot group.
     """
-    core = F.when(F.col("kind") == CANDIDATE, F.regexp_replace("m", r"^[^\p{L}\p{N}+(]++|[^\p{L}\p{N}]++$", "")
-                  ).otherwise(F.col("m"))
-    loose = F.coalesce(*[F.when(F.col("value").rlike(s), F.lit(k)) for k, s in enumerate(LOOSE)])
-    graph = keep(_patterns(found.where((F.col("kind") == CANDIDATE) | F.col("valid"))
-                           .withColumn("value", core)
-                           .withColumn("of", F.when(F.col("kind") < CANDIDATE, F.col("kind")).otherwise(loose)))
+    value = F.when(F.col("kind") >= CANDIDATE, _core(F.col("m"))).otherwise(F.col("m"))
+    graph = keep(_patterns(found.where((F.col("kind") >= CANDIDATE) | F.col("valid"))
+                           .withColumn("value", value)
+                           .withColumn("of", F.when(F.col("kind") < CANDIDATE, F.col("kind")).otherwise(
+                               _loose(F.col("value"))))
+                           .where(F.col("of").isNotNull() | ~F.col("part")))
                  .groupBy("pattern", "of", "value").agg(F.max(F.col("kind") < CANDIDATE).alias("seed")), "pii-graph")
     spread = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("n_values"))
-    known = graph.where("seed").select("of", "value").distinct().withColumn("score", F.lit(1.0))
-    for _ in range(rounds):
+    seeds = graph.where("seed").select("of", "value").distinct()
+    known, before = keep(seeds.withColumn("score", F.lit(1.0)), "pii-known"), None
+    while (now := tuple(known.agg(F.count(F.lit(1)), F.round(F.sum("score"), SETTLED)).first())) != before:
         sums = (graph.where("of is not null").join(known, ["of", "value"]).groupBy("pattern", "of")
                 .agg(F.sum("score").alias("mass"), F.count(F.lit(1)).alias("n_known"))
                 .where(F.col("n_known") >= MIN_SEEDS))
@@ -142,10 +173,10 @@ def learn(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         new = (graph.where("not seed and of is not null").join(rules, ["pattern", "of"])
                .groupBy("of", "value").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("score"))
                .where(F.col("score") >= INSTANCE_SCORE))
-        seeds = graph.where("seed").select("of", "value").distinct()
         after = keep(seeds.withColumn("score", F.lit(1.0)).unionByName(new.join(seeds, ["of", "value"], "left_anti")
                                                                        .select("of", "value", "score")), "pii-known")
-        known = after
+        forget(known)
+        known, before = after, now
     return known.where("score < 1").select(F.col("of").alias("kind"), "value")
 
 
@@ -154,8 +185,7 @@ def find(documents: DataFrame, carry: list[Column]) -> DataFrame:
     rows, found = matches(documents, carry)
     found = keep(found, "pii-found")
     lead = F.length(F.regexp_extract("m", r"^[^\p{L}\p{N}+(]++", 0))
-    candidates = found.where(F.col("kind") == CANDIDATE).withColumn(
-        "value", F.regexp_replace("m", r"^[^\p{L}\p{N}+(]++|[^\p{L}\p{N}]++$", "")).select(
+    candidates = found.where(F.col("kind") >= CANDIDATE).withColumn("value", _core(F.col("m"))).select(
         "row", (F.col("start") + lead).alias("start"), "value")
     base = found.where("valid").select("row", "kind", "start", "stop")
     more = (candidates.join(learn(found).withColumnRenamed("kind", "k"), "value")

@@ -395,6 +395,29 @@ def test_pii_learns_contexts(spark):
     assert text[54] == "mail [EMAIL] or [IP] now" and text[52] == "" and text[53] is None
 
 
+def test_pii_learns_spaced_and_obfuscated(spark):
+    rows = [(i, f"please ring my desk +1 200 300 4{i:03d} today", "s") for i in range(12)]
+    rows += [(20 + i, f"kindly write to user{i}@site.org for help", "s") for i in range(12)]
+    rows += [(50, "please ring my desk (017) 555-7713 today", "s"), (51, "please ring my desk 0171 555 7713 today", "s"),
+             (52, "kindly write to john[at]site[dot]com for help", "s"), (53, "sold 0171 555 7799 sheep", "s"),
+             (54, "please ring my desk 200-300-4999 5 times", "s"), (55, "the poet[at]large sang", "s")]
+    got = {r.doc_id: r.spans for r in pii.scan(docs(spark, rows)).collect()}
+    assert got[50] == "phone:20:34" and got[51] == "phone:20:33" and got[52] == "email:16:36"
+    assert got[54] == "phone:20:32" and got[53] == got[55] == ""
+    assert got[3] == "phone:20:35"
+
+
+def test_pii_learns_to_the_end(spark):
+    number = iter(range(10 ** 10, 10 ** 11, 7654321))
+    rows, shared = [], []
+    for k in range(7):  # a word of context counts only once the values shared with the one before are known
+        new = [next(number) for _ in range(4)]
+        rows += [f"ask the {'abcdefg'[k] * 4} {v} please" for v in [f"+{next(number)}" for _ in range(20)] + shared + new]
+        shared = new
+    got = pii.scan(docs(spark, [(i, t, "s") for i, t in enumerate(rows)])).collect()
+    assert all(r.n_phone == 1 for r in got)
+
+
 # ---- 10 token counts
 
 def test_tokens(spark, tmp_path):
