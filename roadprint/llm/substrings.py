@@ -2,9 +2,11 @@
 
 A suffix begins at every word that has ``min_words`` words from it to the end of its
 document.  Its key holds hashes of its first word, its first four words and its first
-``min_words`` words, from the highest bits down, so that sorting keys sorts suffixes into
-the leaves of a tree cut off at that depth: runs that agree in the upper bits hang under
-one node, and runs of equal keys are the leaves of one deep internal node, a repeat.
+``min_words`` words, from the highest bits down: 12, 12 and 64 bits.  Sorting keys sorts
+suffixes into the leaves of a tree cut off at that depth (a sort of fingerprints of fixed
+depth; no suffix is compared beyond it): runs that agree in the upper bits hang under one
+node, and runs of equal keys are the leaves of one deep internal node, a repeat.  The first
+64 bits of a key are one number (key), the last 24 another (tail).
 
 1. Documents are packed into blocks, written once (text compressed), with the number of
    distinct suffixes per first-word prefix.
@@ -76,7 +78,7 @@ class Hasher:
         return _mix((sums[ends] - sums[starts]) * down[starts])
 
     def keys(self, data: bytes, lengths: np.ndarray, min_words: int):
-        """(number of words per document, first word of every suffix, its document, its key)."""
+        """(number of words per document, first word of every suffix, its document, its key, its tail)."""
         raw = np.frombuffer(data, np.uint8)
         inside = ~_SPACE[raw]
         edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
@@ -87,26 +89,35 @@ class Hasher:
         last = np.cumsum(n_words)[doc]  # one past the last word of the document of each word
         at = np.flatnonzero(np.arange(len(starts)) + min_words <= last)
         if not len(at):
-            return n_words, at, doc[at], np.zeros(0, np.uint64)
+            return n_words, at, doc[at], np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         words = self._runs(0, self.of_byte[raw], starts, ends)
         b = np.uint64(PREFIX_BITS)
         top = np.uint64(64) - b
         first = _mix(words[at]) >> top
         four = self._runs(1, words, at, at + min(4, min_words)) >> top
-        deep = self._runs(1, words, at, at + min_words) >> (b + b)
-        return n_words, at, doc[at], (first << top) | (four << (top - b)) | deep
+        deep = self._runs(1, words, at, at + min_words)
+        tail = deep & ((np.uint64(1) << (b + b)) - np.uint64(1))
+        return n_words, at, doc[at], (first << top) | (four << (top - b)) | (deep >> (b + b)), tail
 
 
-def _distinct(keys: np.ndarray, ids: np.ndarray):
-    """Distinct keys in order, the smallest id of each, and the place of every suffix among them."""
+def _sorted(keys: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by key and tail, and which of the sorted differ from the one before."""
     order = np.argsort(keys, kind="stable")
-    k = keys[order]
-    new = np.r_[True, k[1:] != k[:-1]] if len(k) else np.zeros(0, bool)
+    k, t = keys[order], tails[order]
+    if ((k[1:] == k[:-1]) & (t[1:] != t[:-1])).any():  # seldom: only then tails matter for the order
+        order = np.lexsort((tails, keys))
+        k, t = keys[order], tails[order]
+    return order, np.r_[True, (k[1:] != k[:-1]) | (t[1:] != t[:-1])] if len(k) else np.zeros(0, bool)
+
+
+def _distinct(keys: np.ndarray, tails: np.ndarray, ids: np.ndarray):
+    """Distinct keys in order with their tails, the smallest id of each, and the place of every suffix among them."""
+    order, new = _sorted(keys, tails)
     place = np.empty(len(keys), np.int64)
     place[order] = np.cumsum(new) - 1
     at = np.flatnonzero(new)
     low = np.minimum.reduceat(ids[order], at) if len(at) else np.zeros(0, np.int64)
-    return k[at], low, place
+    return keys[order[at]], tails[order[at]], low, place
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -130,8 +141,7 @@ def _open_block(row, hasher: Hasher, min_words: int):
     data = zstandard.ZstdDecompressor().decompress(row.data)
     ids = np.frombuffer(row.doc_ids, "<i8")
     lengths = np.frombuffer(row.lengths, "<i8")
-    n_words, at, doc, keys = hasher.keys(data, lengths, min_words)
-    return data, ids, lengths, n_words, at, doc, keys
+    return data, ids, lengths, *hasher.keys(data, lengths, min_words)
 
 
 def blocks_of(documents: DataFrame, min_words: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -147,8 +157,8 @@ def blocks_of(documents: DataFrame, min_words: int, block_bytes: int = BLOCK_BYT
             data = b"".join(t + b"\n" for t in texts)
             lengths = np.array([len(t) for t in texts], "<i8")
             id_of = np.array(ids, "<i8")
-            _, _, doc, keys = hasher.keys(data, lengths, min_words)
-            top = _distinct(keys, id_of[doc])[0] >> np.uint64(64 - PREFIX_BITS)
+            _, _, doc, keys, tails = hasher.keys(data, lengths, min_words)
+            top = _distinct(keys, tails, id_of[doc])[0] >> np.uint64(64 - PREFIX_BITS)
             return pd.DataFrame({"block": [block], "doc_ids": [id_of.tobytes()], "lengths": [lengths.tobytes()],
                                  "data": [zip_.compress(data)],
                                  "suffixes": [np.bincount(top.astype(np.int64), minlength=1 << PREFIX_BITS)]})
@@ -200,12 +210,12 @@ def _group_of(keys: np.ndarray, first: np.ndarray, parts: np.ndarray) -> np.ndar
 
 def _send(batches: Iterator[pd.DataFrame], first: np.ndarray, parts: np.ndarray,
           min_words: int) -> Iterator[pd.DataFrame]:
-    """Each block's distinct keys, dealt to groups: (grp, block, n, start, keys, low, ids)."""
+    """Each block's distinct keys, dealt to groups: (grp, block, n, start, keys, tails, low, ids)."""
     hasher = Hasher()
     for b in batches:
         for row in b.itertuples():
-            _, ids, _, _, _, doc, keys = _open_block(row, hasher, min_words)
-            key, low, _ = _distinct(keys, ids[doc])
+            _, ids, _, _, _, doc, keys, tails = _open_block(row, hasher, min_words)
+            key, tail, low, _ = _distinct(keys, tails, ids[doc])
             if not len(key):
                 continue
             group = _group_of(key, first, parts)  # rises with the key
@@ -214,20 +224,18 @@ def _send(batches: Iterator[pd.DataFrame], first: np.ndarray, parts: np.ndarray,
             for s, e in zip(cuts, np.r_[cuts[1:], len(key)]):
                 base = int(low[s:e].min())
                 out.append((int(group[s]), row.block, int(e - s), int(key[s] >> np.uint64(1)), int(key[s] & np.uint64(1)),
-                            _pack(np.diff(key[s:e])), base, _pack((low[s:e] - base).astype(np.uint64))))
-            yield pd.DataFrame(out, columns=["grp", "block", "n", "start", "odd", "keys", "low", "ids"])
+                            _pack(np.diff(key[s:e])), _pack(tail[s:e]), base, _pack((low[s:e] - base).astype(np.uint64))))
+            yield pd.DataFrame(out, columns=["grp", "block", "n", "start", "odd", "keys", "tails", "low", "ids"])
 
 
-SENT = "grp bigint, block bigint, n bigint, start bigint, odd bigint, keys binary, low bigint, ids binary"
+SENT = "grp bigint, block bigint, n bigint, start bigint, odd bigint, keys binary, tails binary, low bigint, ids binary"
 
 
-def subtree(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def subtree(keys: np.ndarray, tails: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Leaf order of the suffixes of a group, and the smallest id under each leaf's deep node."""
-    order = np.argsort(keys, kind="stable")
-    k = keys[order]
-    node = np.cumsum(np.r_[False, k[1:] != k[:-1]])  # leaves that agree to full depth share a node
-    at = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-    return order, np.minimum.reduceat(ids[order], at)[node]
+    order, new = _sorted(keys, tails)
+    node = np.cumsum(new) - 1  # leaves that agree to full depth share a node
+    return order, np.minimum.reduceat(ids[order], np.flatnonzero(new))[node]
 
 
 def _answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,8 +246,9 @@ def _answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sizes = [r.n for r in held]
         keys = np.concatenate([np.cumsum(np.r_[np.uint64(r.start) << np.uint64(1) | np.uint64(r.odd),
                                                _unpack(r.keys, r.n - 1)]) for r in held])
+        tails = np.concatenate([_unpack(r.tails, r.n) for r in held])
         ids = np.concatenate([_unpack(r.ids, r.n).astype(np.int64) + r.low for r in held])
-        order, low = subtree(keys, ids)
+        order, low = subtree(keys, tails, ids)
         earlier = np.zeros(len(keys), bool)
         earlier[order] = low < ids[order]
         ends = np.cumsum(sizes)
@@ -263,8 +272,8 @@ def _cut(batches: Iterator[pd.DataFrame], first: np.ndarray, parts: np.ndarray,
     hasher = Hasher()
     for b in batches:
         for row in b.itertuples():
-            data, ids, lengths, n_words, at, doc, keys = _open_block(row, hasher, min_words)
-            key, low, place = _distinct(keys, ids[doc])
+            data, ids, lengths, n_words, at, doc, keys, tails = _open_block(row, hasher, min_words)
+            key, _, low, place = _distinct(keys, tails, ids[doc])
             earlier = np.zeros(len(key), bool)
             if row.answers is not None and len(row.answers):
                 group = _group_of(key, first, parts)
@@ -303,7 +312,8 @@ def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, group_suffi
     A word goes if a window of ``min_words`` words over it also starts in a document with a
     smaller doc_id; windows are judged on the input.  ``spans`` are the maximal removed runs,
     in words; ``kept_text`` joins the other words by one space.  Words are runs of anything but
-    space and \\t \\n \\v \\f \\r, compared by bytes, through 64-bit keys.
+    space and \\t \\n \\v \\f \\r, compared by bytes, through keys of 88 bits, 64 of
+    them from all ``min_words`` words.
 
     Null and empty texts have no words; rows that repeat a doc_id never remove each other's
     words; rows without doc_id come after all others and keep among themselves; an empty

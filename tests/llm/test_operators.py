@@ -119,6 +119,18 @@ def test_substrings(spark, options):
     assert all(sum(s.stop - s.start for s in r.spans) == r.n_removed for r in got.collect())
 
 
+def test_substrings_keys_tell_windows_apart(spark):
+    pairs = [(1527727, 2252783), (494744, 3713345), (717187, 3419229), (744194, 2936479)]
+    text = lambda v: f"a b c d e f g h i j k l {v}"  # noqa: E731  (of each pair, the first 64 bits of the keys are equal)
+    data = [text(v).encode() for pair in pairs for v in pair]
+    keys, tails = substrings.Hasher().keys(b"".join(t + b"\n" for t in data), np.array([len(t) for t in data]), 13)[3:]
+    assert (keys[::2] == keys[1::2]).all() and (tails[::2] != tails[1::2]).all()
+    d = docs(spark, [(v, text(v), "s") for pair in pairs for v in pair] + [(9 * 10 ** 6, text(494744), "s")])
+    for options in ({}, {"block_bytes": 1}):
+        got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(d, **options).collect()}
+        assert got == {v: 0 for pair in pairs for v in pair} | {9 * 10 ** 6: 13}
+
+
 def test_substrings_empty(spark):
     assert substrings.remove_repeats(docs(spark, []).limit(0)).count() == 0
 
