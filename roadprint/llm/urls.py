@@ -5,6 +5,7 @@ Main path: DataFrame expressions only.
 
 from __future__ import annotations
 
+import itertools
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,6 @@ from roadprint.llm.common import forget, keep
 # Host, path and verdict of the rules of the registered query.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block")]
-MAX_DEPTH = 6  # path segments; all further ones are one wildcard
 MIN_LABELS = 5  # labelled pages that a branch needs to stand apart from its siblings
 Z_SCORE = 2.58  # of the two-share test below which branches are merged
 SMOOTHING = 8.0  # labelled pages that the overall share of bad pages counts for
@@ -48,22 +48,21 @@ def segments(path: Column) -> Column:
     """The path's segments with runs of digits and long hex ids as typed wildcards."""
     plain = F.regexp_replace(F.regexp_replace(path, r"[0-9A-Fa-f]{8,}(?:-[0-9A-Fa-f]{4,})*", "{h}"),
                              r"[0-9]+", "{n}")
-    parts = F.slice(F.split(plain, "/"), 2, F.lit(2147483647))
-    return F.when(F.size(parts) > MAX_DEPTH, F.concat(F.slice(parts, 1, MAX_DEPTH), F.array(F.lit("**")))
-                  ).otherwise(parts)
+    parts = F.split(plain, "/")
+    return F.slice(parts, F.lit(2), F.size(parts))
 
 
 def templates(shapes: DataFrame) -> DataFrame:
     """``shapes(host, segs, n, lab, bad)`` with the template that each falls under.
 
-    Level by level, the branches of a node (host and template so far) are compared with
+    Level by level, down to the last segment of the longest path, the branches of a node (host and template so far) are compared with
     their siblings taken together (two-share z test): those with clearly more bad pages are
     merged into ``*+``, those with clearly fewer into ``*-`` and all others, unlabelled ones
     too, into ``*``.  A branch alone in its class stays literal.
     """
     level = keep(shapes.withColumn("template", F.lit("")), "url-shapes")
-    for depth in range(1, MAX_DEPTH + 2):
-        here = level.withColumn("seg", F.get("segs", F.lit(depth - 1)))
+    for depth in itertools.count():
+        here = level.withColumn("seg", F.get("segs", F.lit(depth)))
         deeper = here.where("seg is not null")
         if deeper.isEmpty():
             break

@@ -163,6 +163,14 @@ def test_url_templates(spark):
     assert all((r.verdict == "block") == ("/spam/" in r.path) for r in got)
 
 
+def test_url_templates_go_to_the_last_segment(spark):
+    rows = [(i, f"https://deep.org/a/b/c/d/e/f/{('spam', 'docs')[i % 2]}/x/{i}") for i in range(80)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    marks = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "page_id long, bad int")
+    got = {(r.page_id % 2, r.template, r.verdict) for r in urls.judge(pages, marks).collect()}
+    assert got == {(0, "/a/b/c/d/e/f/spam/x/{n}", "block"), (1, "/a/b/c/d/e/f/docs/x/{n}", "allow")}
+
+
 # ---- 4 embeddings
 
 def test_vectors(spark, monkeypatch):
