@@ -17,6 +17,7 @@ from roadprint.llm.common import forget, keep
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block")]
 MIN_LABELS = 5  # labelled pages that a branch needs to stand apart from its siblings
+MIN_BRANCHES = 5  # labelled branches merged at a node that an unlabelled one needs to be judged like them
 Z_SCORE = 2.58  # of the two-share test below which branches are merged
 SMOOTHING = 8.0  # labelled pages that the overall share of bad pages counts for
 REJECT_AT = 0.5  # smoothed share of bad pages from which a template is rejected
@@ -52,15 +53,25 @@ def segments(path: Column) -> Column:
     return F.slice(parts, F.lit(2), F.size(parts))
 
 
+def prior_of(shapes: DataFrame) -> float:
+    """Share of bad pages among all labelled ones, 0 without labels."""
+    overall = shapes.agg(F.sum("bad").alias("bad"), F.sum("lab").alias("lab")).first()
+    return (overall["bad"] or 0) / overall["lab"] if overall["lab"] else 0.0
+
+
 def templates(shapes: DataFrame) -> DataFrame:
     """``shapes(host, segs, n, lab, bad)`` with the template that each falls under.
 
     Level by level, down to the last segment of the longest path, the branches of a node (host and template so far) are compared with
-    their siblings taken together (two-share z test): those with clearly more bad pages are
-    merged into ``*+``, those with clearly fewer into ``*-`` and all others, unlabelled ones
-    too, into ``*``.  A branch alone in its class stays literal.
+    their siblings taken together (two-share z test), or with the overall share of bad pages
+    where the siblings have too few labels: those with clearly more bad pages are merged into
+    ``*+``, those with clearly fewer into ``*-`` and all others into ``*``.  Unlabelled branches
+    join ``*`` only where it holds enough labelled branches to show that branches of this node
+    are alike, or none; else they are ``*?``, which has no labels and so the overall share.
+    A branch alone in its class stays literal.
     """
     level = keep(shapes.withColumn("template", F.lit("")), "url-shapes")
+    prior = prior_of(level)
     for depth in itertools.count():
         here = level.withColumn("seg", F.get("segs", F.lit(depth)))
         deeper = here.where("seg is not null")
@@ -70,12 +81,19 @@ def templates(shapes: DataFrame) -> DataFrame:
         node = branch.groupBy("host", "template").agg(
             F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad"))
         rest, share = F.col("all_lab") - F.col("lab"), F.try_divide("all_bad", "all_lab")
-        gap = F.try_divide("bad", "lab") - F.try_divide(F.col("all_bad") - F.col("bad"), rest)
-        spread = F.sqrt(share * (1 - share) * (F.try_divide(F.lit(1), F.col("lab")) + F.try_divide(F.lit(1), rest)))
-        apart = F.coalesce((F.col("lab") >= MIN_LABELS) & (rest >= MIN_LABELS) & (F.abs(gap) >= spread * Z_SCORE)
-                           & (gap != 0), F.lit(False))
+        own, few = F.try_divide("bad", "lab"), rest < MIN_LABELS
+        gap = own - F.when(few, F.lit(prior)).otherwise(F.try_divide(F.col("all_bad") - F.col("bad"), rest))
+        one = F.try_divide(F.lit(1), F.col("lab"))
+        spread = F.when(few, F.sqrt(F.lit(prior * (1 - prior)) * one)).otherwise(
+            F.sqrt(share * (1 - share) * (one + F.try_divide(F.lit(1), rest))))
+        apart = F.coalesce((F.col("lab") >= MIN_LABELS) & (F.abs(gap) >= spread * Z_SCORE) & (gap != 0), F.lit(False))
         kind = F.when(apart, F.when(gap > 0, "*+").otherwise("*-")).otherwise("*")
-        sided = branch.join(node, ["host", "template"]).select("host", "template", "seg", kind.alias("name"))
+        tested = branch.join(node, ["host", "template"]).select("host", "template", "seg", "lab", kind.alias("kind"))
+        alike = tested.groupBy("host", "template").agg(
+            F.count(F.when((F.col("kind") == "*") & (F.col("lab") > 0), 1)).alias("alike"))
+        unlike = (F.col("lab") == 0) & F.col("alike").between(1, MIN_BRANCHES - 1)
+        sided = tested.join(alike, ["host", "template"]).select(
+            "host", "template", "seg", F.when(unlike, "*?").otherwise(F.col("kind")).alias("name"))
         alone = sided.groupBy("host", "template", "name").agg(
             F.count(F.lit(1)).alias("members"), F.min("seg").alias("only"))
         named = sided.join(alone, ["host", "template", "name"]).select(
@@ -110,8 +128,7 @@ def judge(pages: DataFrame, labelled: DataFrame, rules=RULES) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("lab"),
                    F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("bad")))
     tree = templates(shapes)
-    overall = tree.agg(F.sum("bad").alias("bad"), F.sum("lab").alias("lab")).first()
-    prior = (overall["bad"] or 0) / overall["lab"] if overall["lab"] else 0.0
+    prior = prior_of(tree)
     bad_share = (F.col("t_bad") + SMOOTHING * prior) / (F.col("t_lab") + SMOOTHING)
     judged = (tree.groupBy("host", "template").agg(F.sum("bad").alias("t_bad"), F.sum("lab").alias("t_lab"))
               .withColumn("bad_share", bad_share).select("host", "template", "bad_share"))

@@ -171,6 +171,20 @@ def test_url_templates_go_to_the_last_segment(spark):
     assert got == {(0, "/a/b/c/d/e/f/spam/x/{n}", "block"), (1, "/a/b/c/d/e/f/docs/x/{n}", "allow")}
 
 
+def test_url_branches_without_evidence_have_the_prior(spark):
+    name = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    urls_of = [f"https://one.org/spam/{name(i)}" for i in range(120)] + [f"https://one.org/docs/{i}" for i in range(50)]
+    urls_of += [f"https://few.org/spam/{i}" for i in range(5)] + [f"https://few.org/docs/{i}" for i in range(20)]
+    urls_of += [f"https://good.org/a/{i}" for i in range(300)]
+    pages = spark.createDataFrame(list(enumerate(urls_of)), "page_id long, url string")
+    marks = [(i, int("/spam/" in u)) for i, u in enumerate(urls_of) if i < 100 or "few.org/spam" in u or "good.org" in u]
+    marks += [(120 + i, 0) for i in range(3)]
+    got = urls.judge(pages, spark.createDataFrame(marks, "page_id long, bad int")).collect()
+    assert len(got) == len(urls_of)
+    assert all((r.verdict == "block") == r.path.startswith("/spam/") for r in got if r.host != "few.org")
+    assert {r.verdict for r in got if r.host == "few.org" and r.path.startswith("/docs/")} == {"allow"}
+
+
 # ---- 4 embeddings
 
 def test_vectors(spark, monkeypatch):
