@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadprint.llm import decontam, mixing, pii, simhash, substrings, tokens, toxicity, urls, vectors, warc
+from roadprint.llm import alignment, decontam, mixing, pii, simhash, substrings, tokens, toxicity, urls, vectors, warc
 from roadprint.llm.common import table
 
 
@@ -66,6 +66,13 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of a byte-level BPE and a sentencepiece model over every document."""
+    import public_tokenizers
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substrings": op2_substrings,
@@ -77,6 +84,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
     "op10_tokens": op10_tokens,
+    "op12_alignment": op12_alignment,
 }
 
 # The mix in one statement: the cap-per-weight order as in water_fill, then a running
