@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadprint.llm import alignment, decontam, mixing, pii, simhash, substrings, tokens, toxicity, urls, vectors, warc
+from roadprint.llm import alignment, decontam, lexical, mixing, pii, simhash, substrings, tokens, toxicity, urls, vectors, warc
 from roadprint.llm.common import table
 
 
@@ -66,6 +66,11 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best of all documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of a byte-level BPE and a sentencepiece model over every document."""
     import public_tokenizers
@@ -84,6 +89,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
     "op10_tokens": op10_tokens,
+    "op11_lexical": op11_lexical,
     "op12_alignment": op12_alignment,
 }
 
@@ -138,4 +144,26 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN payload_bytes >= 1000 AND last_id IS DISTINCT FROM page_id THEN last_id END AS refers_to FROM m
 """
 
-ORACLE_SQL = {"op2_substrings": SUBSTRINGS_SQL, "op5_mixing": MIXING_SQL, "op7_warc": WARC_SQL}
+# Term counts of the items' terms only; integers but for the logarithm.
+LEXICAL_SQL = r"""
+WITH fold AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, up, low),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents, fold WHERE text IS NOT NULL),
+dn AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+c AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM dn),
+q AS (SELECT DISTINCT item, item_id, unnest(regexp_extract_all(translate(text, up, low),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS item, * FROM benchmark), fold WHERE text IS NOT NULL),
+v AS (SELECT DISTINCT term FROM q),
+o AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM dn) JOIN v USING (term) GROUP BY r, term),
+wt AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+    FROM (SELECT term, count(*) AS df FROM o GROUP BY term), c),
+g AS (SELECT r, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nd) // l))) AS s
+    FROM o JOIN wt USING (term) JOIN dn USING (r), c),
+sc AS (SELECT item, item_id, r, CAST(sum(s) AS BIGINT) AS score FROM q JOIN g USING (term) GROUP BY item, item_id, r),
+rk AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item
+    ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM sc JOIN dn USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM rk WHERE rank <= 50
+"""
+
+ORACLE_SQL = {"op11_lexical": LEXICAL_SQL, "op2_substrings": SUBSTRINGS_SQL, "op5_mixing": MIXING_SQL, "op7_warc": WARC_SQL}
