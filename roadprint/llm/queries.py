@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadprint.llm import alignment, decontam, lexical, mixing, pii, simhash, substrings, tokens, toxicity, urls, vectors, warc
+from roadprint.llm import alignment, decontam, fingerprints, lexical, mixing, pii, simhash, substrings, tokens, toxicity, urls, vectors, warc
 from roadprint.llm.common import table
 
 
@@ -78,6 +78,11 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substrings": op2_substrings,
@@ -91,6 +96,7 @@ QUERIES = {
     "op10_tokens": op10_tokens,
     "op11_lexical": op11_lexical,
     "op12_alignment": op12_alignment,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 # The mix in one statement: the cap-per-weight order as in water_fill, then a running
