@@ -121,23 +121,25 @@ class Benchmark:
         return out
 
 
-def _blocks(benchmark: DataFrame, min_tile: int, block_words: int) -> Iterator[Benchmark]:
-    """The benchmark in blocks of about ``block_words`` words; one block, as a rule."""
+def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int, str]]]:
+    """(item_id, text) of the benchmark in blocks of about ``block_words`` words; one block, as a rule."""
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct()
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = max(1, -(-total // block_words))
     for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b).orderBy("item_id", "text").collect()
-        yield Benchmark([(r["item_id"], r["text"]) for r in rows], min_tile)
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).orderBy("item_id", "text").collect()
+        yield [(r["item_id"], r["text"]) for r in rows]
 
 
-def _column(spark, block: Benchmark, text: str) -> Column:
-    sent = spark.sparkContext.broadcast(block)  # about BLOCK_WORDS words
+def _column(spark, items: list[tuple[int, str]], min_tile: int, text: str) -> Column:
+    sent = spark.sparkContext.broadcast((items, min_tile))  # plain values, about BLOCK_WORDS words
 
     @F.pandas_udf(FOUND)
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("item_id", "n_tiles", "covered", "item_words"), o))
-                           for o in sent.value.overlaps(t)] for t in texts], dtype="object")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        block = Benchmark(*sent.value)
+        for texts in batches:
+            yield pd.Series([[dict(zip(("item_id", "n_tiles", "covered", "item_words"), o))
+                              for o in block.overlaps(t)] for t in texts], dtype="object")
 
     return of(text)
 
@@ -155,8 +157,8 @@ def report(documents: DataFrame, benchmark: DataFrame, min_tile: int = MIN_TILE,
     empty table on either side gives no rows; other columns are ignored.
     """
     out = None
-    for block in _blocks(benchmark, min_tile, block_words):
-        part = documents.select("doc_id", F.explode(_column(documents.sparkSession, block, "text")).alias("o"))
+    for block in _blocks(benchmark, block_words):
+        part = documents.select("doc_id", F.explode(_column(documents.sparkSession, block, min_tile, "text")).alias("o"))
         out = part if out is None else out.unionByName(part)
     share = F.col("o.covered") / F.col("o.item_words")
     return out.select("doc_id", "o.*", share.alias("coverage"), (share >= coverage).alias("contaminated"))
@@ -165,7 +167,7 @@ def report(documents: DataFrame, benchmark: DataFrame, min_tile: int = MIN_TILE,
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, min_tile: int = MIN_TILE,
                       coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents that no item covers to ``coverage`` of its words or more, columns unchanged."""
-    for block in _blocks(benchmark, min_tile, block_words):
-        found = _column(documents.sparkSession, block, "text")
+    for block in _blocks(benchmark, block_words):
+        found = _column(documents.sparkSession, block, min_tile, "text")
         documents = documents.where(~F.exists(found, lambda o: o["covered"] / o["item_words"] >= coverage))
     return documents
