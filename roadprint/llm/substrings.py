@@ -2,7 +2,8 @@
 
 A suffix begins at every word that has ``min_words`` words from it to the end of its
 document.  Its key holds hashes of its first word, its first four words and its first
-``min_words`` words, from the highest bits down: 12, 12 and 64 bits.  Sorting keys sorts
+``min_words`` words, from the highest bits down: 12, 12 and 64 bits.  Words are hashed by XXH3,
+runs of words by a chain in which every word mixes all bits, so no words can be made to cancel out.  Sorting keys sorts
 suffixes into the leaves of a tree cut off at that depth (a sort of fingerprints of fixed
 depth; no suffix is compared beyond it): runs that agree in the upper bits hang under one
 node, and runs of equal keys are the leaves of one deep internal node, a repeat.  The first
@@ -34,20 +35,10 @@ MIN_WORDS = 13
 BLOCK_BYTES = 2 << 20  # text of a block; a longer document is a block of its own
 GROUP_SUFFIXES = 1 << 20  # distinct suffixes (of a block each) that a subtree should hold
 PREFIX_BITS = 12  # of the key, for each of the first word and the first four words
-NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id: after all others
-BLOCK = "block bigint, doc_ids binary, lengths binary, data binary, suffixes array<int>"
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
-
-
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64, for an odd base."""
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        p = np.full(n, b, np.uint64)
-        p[:1] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+NO_ID = np.iinfo(np.int64).max  # order of a null doc_id, which is marked beside it
+BLOCK = "block bigint, doc_ids binary, nameless binary, lengths binary, data binary, suffixes array<int>"
+WORDS_HELD = 500_000  # distinct words whose hashes a task remembers; then it starts afresh
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,44 +49,43 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """Hashes words and runs of words of a block with prefix sums of polynomials modulo 2^64."""
-
-    def __init__(self, seed: int = 1):
-        rng = np.random.default_rng(seed)
-        self.of_byte = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-        self.bases = [int(b) * 2 + 1 for b in rng.integers(1 << 40, 1 << 61, 2)]
-        self.tables = [_powers(b, 0) for b in self.bases]
+    """Hashes words (XXH3 of their bytes) and runs of words, one word after the other."""
 
-    def _table(self, which: int, n: int):
-        if len(self.tables[which][0]) < n:
-            self.tables[which] = _powers(self.bases[which], n)
-        return self.tables[which]
+    def __init__(self):
+        self.held: dict[bytes, int] = {}
 
-    def _runs(self, which: int, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        up, down = self._table(which, len(values))
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * up[:len(values)], out=sums[1:])
-        return _mix((sums[ends] - sums[starts]) * down[starts])
+    def words(self, words: list[bytes]) -> np.ndarray:
+        import xxhash
+        new = set(words).difference(self.held)
+        if len(self.held) + len(new) > WORDS_HELD:
+            self.held = {}
+            new = set(words)
+        self.held.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
+        return np.fromiter(map(self.held.__getitem__, words), np.uint64, len(words))
 
     def keys(self, data: bytes, lengths: np.ndarray, min_words: int):
         """(number of words per document, first word of every suffix, its document, its key, its tail)."""
-        raw = np.frombuffer(data, np.uint8)
-        inside = ~_SPACE[raw]
-        edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
-        starts, ends = edge[::2], edge[1::2]
-        doc_ends = np.cumsum(lengths + 1)
-        doc = np.searchsorted(doc_ends, starts, side="right")
-        n_words = np.bincount(doc, minlength=len(lengths))
+        parts, at = [], 0
+        for n in lengths.tolist():
+            parts.append(data[at:at + n].split())
+            at += n + 1
+        n_words = np.array([len(p) for p in parts], np.int64)
+        doc = np.repeat(np.arange(len(parts)), n_words)
         last = np.cumsum(n_words)[doc]  # one past the last word of the document of each word
-        at = np.flatnonzero(np.arange(len(starts)) + min_words <= last)
+        at = np.flatnonzero(np.arange(len(doc)) + min_words <= last)
         if not len(at):
             return n_words, at, doc[at], np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        words = self._runs(0, self.of_byte[raw], starts, ends)
+        words = self.words([w for p in parts for w in p])
         b = np.uint64(PREFIX_BITS)
         top = np.uint64(64) - b
-        first = _mix(words[at]) >> top
-        four = self._runs(1, words, at, at + min(4, min_words)) >> top
-        deep = self._runs(1, words, at, at + min_words)
+        first = words[at] >> top
+        run = np.full(len(at), STEP)
+        for k in range(min_words):  # every step mixes all bits, so neither order nor repeats cancel out
+            run = (run ^ words[at + k]) * STEP
+            run ^= run >> np.uint64(32)
+            if k == min(4, min_words) - 1:
+                four = _mix(run) >> top
+        deep = _mix(run)
         tail = deep & ((np.uint64(1) << (b + b)) - np.uint64(1))
         return n_words, at, doc[at], (first << top) | (four << (top - b)) | (deep >> (b + b)), tail
 
@@ -151,7 +141,7 @@ def blocks_of(documents: DataFrame, min_words: int, block_bytes: int = BLOCK_BYT
         from pyspark import TaskContext
         hasher, zip_ = Hasher(), zstandard.ZstdCompressor(level=3)
         block = TaskContext.get().partitionId() << 32
-        ids, texts, size = [], [], 0
+        ids, nameless, texts, size = [], [], [], 0
 
         def out() -> pd.DataFrame:
             data = b"".join(t + b"\n" for t in texts)
@@ -159,18 +149,20 @@ def blocks_of(documents: DataFrame, min_words: int, block_bytes: int = BLOCK_BYT
             id_of = np.array(ids, "<i8")
             _, _, doc, keys, tails = hasher.keys(data, lengths, min_words)
             top = _distinct(keys, tails, id_of[doc])[0] >> np.uint64(64 - PREFIX_BITS)
-            return pd.DataFrame({"block": [block], "doc_ids": [id_of.tobytes()], "lengths": [lengths.tobytes()],
+            return pd.DataFrame({"block": [block], "doc_ids": [id_of.tobytes()],
+                                 "nameless": [np.array(nameless, bool).tobytes()], "lengths": [lengths.tobytes()],
                                  "data": [zip_.compress(data)],
                                  "suffixes": [np.bincount(top.astype(np.int64), minlength=1 << PREFIX_BITS)]})
 
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"]):
+                nameless.append(doc_id is None)
                 ids.append(NO_ID if doc_id is None else int(doc_id))
                 texts.append((text or "").encode("utf-8"))
                 size += len(texts[-1]) + 1
                 if size >= block_bytes:
                     yield out()
-                    block, ids, texts, size = block + 1, [], [], 0
+                    block, ids, nameless, texts, size = block + 1, [], [], [], 0
         if ids:
             yield out()
 
@@ -287,7 +279,7 @@ def _cut(batches: Iterator[pd.DataFrame], first: np.ndarray, parts: np.ndarray,
             np.add.at(depth, np.minimum(repeat + min_words, total), -1)
             gone = np.cumsum(depth)[:total] > 0
             out, pos, word = [], 0, 0
-            for doc_id, size, n in zip(ids.tolist(), lengths.tolist(), n_words.tolist()):
+            for doc_id, unnamed, size, n in zip(ids.tolist(), row.nameless, lengths.tolist(), n_words.tolist()):
                 words = data[pos:pos + size].split()
                 cut = gone[word:word + n]
                 removed = int(cut.sum())
@@ -296,7 +288,7 @@ def _cut(batches: Iterator[pd.DataFrame], first: np.ndarray, parts: np.ndarray,
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], cut, [False]]).astype(np.int8)))
                     spans = [{"start": s, "stop": e} for s, e in edge.reshape(-1, 2).tolist()]
                     words = [w for w, c in zip(words, cut.tolist()) if not c]
-                out.append((None if doc_id == NO_ID else str(doc_id), n, removed,
+                out.append((None if unnamed else str(doc_id), n, removed,
                             b" ".join(words).decode("utf-8"), spans))
                 pos, word = pos + size + 1, word + n
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_text", "spans"])
@@ -316,7 +308,7 @@ def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, group_suffi
     them from all ``min_words`` words.
 
     Null and empty texts have no words; rows that repeat a doc_id never remove each other's
-    words; rows without doc_id come after all others and keep among themselves; an empty
+    words; rows without doc_id rank with the largest possible id and keep among themselves; an empty
     table gives no rows; other columns are ignored.
     """
     blocks = blocks_of(documents, min_words, block_bytes)
@@ -326,7 +318,7 @@ def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, group_suffi
     answers = keep(sent.repartition("grp").sortWithinPartitions("grp", "block").mapInPandas(
         _answer, "block bigint, grp bigint, bits binary"), "substring-answers")
     per_block = answers.groupBy("block").agg(F.collect_list(F.struct("grp", "bits")).alias("answers"))
-    met = blocks.select("block", "doc_ids", "lengths", "data").join(per_block, "block", "left")
+    met = blocks.select("block", "doc_ids", "nameless", "lengths", "data").join(per_block, "block", "left")
     kind = documents.schema["doc_id"].dataType
     return met.mapInPandas(lambda b: _cut(b, first, parts, min_words), CUT).withColumn(
         "doc_id", F.col("doc_id").cast(kind))
