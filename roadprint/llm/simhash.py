@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadprint.llm.common import components, forget, keep
+from roadprint.llm.common import components, keep
 
 SHINGLE_WORDS, MAX_BITS = 4, 4
 SEED = 42  # of XXH64
@@ -35,11 +35,17 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) of every document; a null text counts as empty (fingerprint zero)."""
+    """(doc_id, row, fp) of every document; ``row`` is a digest of id and text, a null text counts as empty."""
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, shingle_words) for t in texts], dtype="int64")
-    return documents.select("doc_id", of("text").alias("fp"))
+    return documents.select("doc_id", row_digest().alias("row"), of("text").alias("fp"))
+
+
+def row_digest() -> Column:
+    """The same for rows that repeat both doc_id and text."""
+    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                             F.coalesce(F.md5("text"), F.lit(""))))
 
 
 def covering_masks(max_bits: int, bits: int = 64) -> list[int]:
@@ -117,55 +123,53 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return dealt.mapInArrow(meet, "a bigint, b bigint")
 
 
+def _groups(documents: DataFrame, shingle_words: int, max_bits: int) -> DataFrame:
+    """(doc_id, row, fp, node, component_id): ``node`` is the smallest fingerprint reachable.
+
+    Fingerprints are the nodes, so those that only rows without doc_id hold link like any other.
+    """
+    prints = keep(fingerprints(documents, shingle_words), "simhash")
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("id"))
+    comp = components(near_links(nodes.select(F.col("fp").alias("id"), "fp"), max_bits))
+    of = nodes.join(comp, nodes["fp"] == comp["node"], "left").select(
+        "fp", "id", F.coalesce("component", "fp").alias("node"))
+    lowest = of.groupBy("node").agg(F.min("id").alias("component_id"))
+    return prints.join(of.select("fp", "node").join(lowest, "node"), "fp")
+
+
 def near_duplicates(documents: DataFrame, shingle_words: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document.
 
     ``component_id`` is the smallest doc_id reachable by links of at most ``max_bits``
-    differing bits (itself included).  Texts with one fingerprint are first merged to
-    their smallest doc_id (a partial aggregate), so a large group of copies is one node.
+    differing bits (itself included).  Texts with one fingerprint are first merged
+    (a partial aggregate), so a large group of copies is one node.
 
     Null and empty texts have fingerprint zero and link like any other; repeated rows
-    share a component; rows without doc_id are kept and never name a component unless
-    their whole group has none (then null); an empty table gives no rows.
+    share a component; rows without doc_id link like any other and never name a component
+    (null if no row of it has an id); an empty table gives no rows; long texts count whole;
+    other columns are ignored.
     """
-    prints = keep(fingerprints(documents, shingle_words), "simhash")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("id"))
-    links = near_links(nodes.where("id is not null"), max_bits)
-    comp = components(links)
-    named = nodes.join(comp, nodes["id"] == comp["node"], "left").select(
-        "fp", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(named, "fp").select(
+    return _groups(documents, shingle_words, max_bits).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(documents: DataFrame, shingle_words: int = SHINGLE_WORDS,
              max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with one of each near-duplicate group: that with the smallest doc_id.
+    """One row of each near-duplicate group, columns unchanged: that with the smallest doc_id.
 
-    Rows that repeat a kept doc_id are merged to one (the smallest by text, then the other
-    columns); a group without any doc_id keeps one row.
+    If several rows of the group have that doc_id, or no row has one, the row with the smallest
+    digest of id and text stays; of rows that repeat both, the smallest by the other columns.
+    Null and empty texts are near-duplicates of each other; an empty table stays empty; columns
+    may have any names.
     """
-    found = near_duplicates(documents, shingle_words, max_bits)
+    found = _groups(documents, shingle_words, max_bits)
     chosen = keep(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("fingerprint")).alias("fingerprint"))
-                  .agg(F.count(F.lit(1)).alias("n")), "simhash-kept")
-    once = documents.join(chosen.where("n = 1 and doc_id is not null").select("doc_id"), "doc_id", "left_semi")
-    if chosen.where("n > 1 or doc_id is null").isEmpty():
-        return once.select(documents.columns)
-    cols = ["text"] + [c for c in documents.columns if c != "text"]
-    again = documents.join(chosen.where("n > 1").select("doc_id").where("doc_id is not null"), "doc_id", "left_semi")
-    nameless = documents.where("doc_id is null").withColumn("_fp", fingerprints_column("text", shingle_words)).join(
-        chosen.where("doc_id is null").select(F.conv("fingerprint", 16, -10).cast("bigint").alias("_fp")), "_fp",
-        "left_semi")
-    merged = again.withColumn("_fp", F.lit(0).cast("bigint")).unionByName(nameless.select(
-        *again.columns, "_fp")).groupBy("doc_id", "_fp").agg(F.min(F.struct(*cols)).alias("r"))
-    return once.select(documents.columns).unionByName(merged.select(*[F.col(f"r.{c}").alias(c)
-                                                                      for c in documents.columns]))
-
-
-def fingerprints_column(text: str, shingle_words: int):
-    @F.pandas_udf("bigint")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle_words) for t in texts], dtype="int64")
-    return of(text)
+                  .groupBy("node", "row").agg(F.count(F.lit(1)).alias("n"))
+                  .groupBy("node").agg(F.min(F.struct("row", "n")).alias("r")).select("r.row", "r.n"), "simhash-kept")
+    rows = documents.select(F.struct(*documents.columns).alias("doc"), row_digest().alias("row"))
+    once = rows.join(chosen.where("n = 1").select("row"), "row", "left_semi").select("doc.*")
+    if chosen.where("n > 1").isEmpty():
+        return once
+    again = rows.join(chosen.where("n > 1").select("row"), "row", "left_semi")
+    return once.unionByName(again.groupBy("row").agg(F.min("doc").alias("doc")).select("doc.*"))
