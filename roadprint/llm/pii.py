@@ -230,23 +230,23 @@ def redact(documents: DataFrame) -> DataFrame:
     become one, named after the first.  ``n_chars``, where there is one, is the new length.
     """
     digest = F.sha2(F.col("text"), 256)
-    spans = (find(documents.where("text is not null"), [digest.alias("_digest")]).where(F.size("spans") > 0)
-             .groupBy("_digest").agg(F.first("spans").alias("_spans")))
-    by_start = F.sort_array(F.transform("_spans", lambda s: F.struct(
+    spans = (find(documents.where("text is not null").select("text"), [digest.alias("digest")])
+             .where(F.size("spans") > 0).groupBy("digest").agg(F.first("spans").alias("spans")))
+    by_start = F.sort_array(F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
     zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     built = F.aggregate(by_start, zero, lambda acc, s: F.when(
         s["start"] < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["stop"]).alias("at"))
     ).otherwise(F.struct(
-        F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"),
+        F.concat(acc["out"], F.substring(F.col("doc.text"), (acc["at"] + 1).cast("int"),
                                          (s["start"] - acc["at"]).cast("int")),
                  F.element_at(names, s["kind"] + 1)).alias("out"), s["stop"].alias("at"))))
-    done = F.concat(built["out"], F.substring(F.col("text"), (built["at"] + 1).cast("int"), F.lit(2147483647)))
-    out = documents.withColumn("_digest", digest).join(spans, "_digest", "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(done)
-    out = out.withColumn("_new", text)
-    cols = [F.col("_new").alias(c) if c == "text" else
-            F.when(F.col("_spans").isNull(), F.col(c)).otherwise(F.length("_new")).cast("bigint").alias(c)
-            if c == "n_chars" else F.col(c) for c in documents.columns]
-    return out.select(*cols)
+    done = F.concat(built["out"], F.substring(F.col("doc.text"), (built["at"] + 1).cast("int"), F.lit(2147483647)))
+    # The document goes as one struct, so none of its columns can clash with these.
+    out = (documents.select(F.struct(*documents.columns).alias("doc"), digest.alias("digest")).join(spans, "digest", "left")
+           .withColumn("new", F.when(F.col("spans").isNull(), F.col("doc.text")).otherwise(done)))
+    return out.select(*[
+        F.col("new").alias(c) if c == "text" else
+        F.when(F.col("spans").isNull(), F.col(f"doc.`{c}`")).otherwise(F.length("new")).cast("bigint").alias(c)
+        if c == "n_chars" else F.col(f"doc.`{c}`") for c in documents.columns])
