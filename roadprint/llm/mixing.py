@@ -44,14 +44,15 @@ def water_fill(sources: DataFrame, max_epochs: int) -> DataFrame:
             .select("source_key", "source_size", "weight", "target"))
 
 
-def _draw(sized: DataFrame, need: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The words of the last, partial repetition: crossing prefixes, and words of edge rows.
+def _draw(sized: DataFrame, need: DataFrame) -> DataFrame:
+    """Where the last, partial repetition ends: (source_key, prefix, open).
 
     ``need(source_key, remainder)``: words each source still lacks.  The documents of a source are put in a seeded random order
     and taken whole until the source's remainder is met; the one that crosses it
     gives the words still missing.  The order is followed by radix: sizes summed
     per 3 hex digits of the draw find the crossing prefix, twice, so only the few
-    documents that share 6 digits with the crossing one are ever sorted together.
+    documents that share 6 digits with the crossing one are ever sorted together (``_taken``):
+    ``open`` words are still to be taken from those.
     """
     run = lambda *by: Window.partitionBy("source_key").orderBy(*by).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -67,35 +68,21 @@ def _draw(sized: DataFrame, need: DataFrame) -> tuple[DataFrame, DataFrame]:
         level = keep(level.drop("prefix", "open").join(
             cum.select("source_key", F.col("p").alias("prefix"), (F.col("open") - F.col("before")).alias("open")),
             "source_key"), "mix-level")
-    edge = (sized.join(small(level.select("source_key", "prefix", "open")), "source_key")
-            .where(F.col("draw").startswith(F.col("prefix"))))
-    edge = edge.withColumn("before", F.coalesce(F.sum("size").over(run("draw", "row")), F.lit(0)))
-    edge = edge.select("row", F.greatest(F.lit(0), F.least("size", F.col("open") - F.col("before")))
-                       .alias("edge_words"))
-    return level.select("source_key", "prefix"), edge
+    return level.select("source_key", "prefix", "open")
 
 
-def mix(documents: DataFrame, max_epochs: int = 3, weights: tuple[int, ...] = (1, 2, 3),
-        seed: int = SEED) -> DataFrame:
-    """Mix documents so that each source takes its share of all words.
-
-    Returns (doc_id, size, source_size, target, taken, epochs): ``size`` in words (null
-    text: 0), ``taken`` the words the mix takes from the document: ``epochs`` whole
-    repetitions plus, for the documents drawn, one more (the last drawn one gives only
-    the words that its source still lacks).  Sources in code-point order, null last,
-    weigh ``weights`` in turn.  A source's taken words equal its target rounded to a
-    word.  Reruns agree: draws are md5 of seed and doc_id.
-
-    Empty texts take 0 words; repeated rows are separate documents; an empty table
-    gives no rows; a null doc_id draws by its text.  Other columns are ignored.
-    """
-    rows = documents.select("doc_id", "source", words_count(F.col("text")).alias("size"),
-                            F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(
-                                F.col("doc_id").cast("string"), F.md5("text"), F.lit("null")))).alias("draw"))
+def _sized(documents: DataFrame, seed: int) -> DataFrame:
+    """Every document as a struct ``doc``, with its size, the key of its source and its draw."""
+    text_id = F.coalesce(F.md5("text"), F.lit("null"))
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_id))
     # A source as a key that is never null and sorts nulls last.
     key = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source"))
-    sized = keep(rows.withColumn("source_key", key).drop("source")
-                 .withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    return documents.select(F.struct(*documents.columns).alias("doc"), key.alias("source_key"),
+                            words_count(F.col("text")).alias("size"), draw.alias("draw"))
+
+
+def _plan(sized: DataFrame, max_epochs: int, weights: tuple[int, ...]) -> DataFrame:
+    """Per source: target, whole repetitions, and where the last, partial one ends in draw order."""
     n = len(weights)
     at = Window.orderBy("source_key")
     sources = (sized.groupBy("source_key").agg(F.sum("size").alias("source_size"))
@@ -109,12 +96,51 @@ def mix(documents: DataFrame, max_epochs: int = 3, weights: tuple[int, ...] = (1
                                              / F.col("source_size")).otherwise(0).cast("bigint"))
                 .withColumn("remainder", F.col("words") - F.col("epochs") * F.col("source_size")),
                 "mix-plan")
-    prefixes, edge = _draw(sized.select("row", "source_key", "size", "draw"),
-                           plan.where("remainder > 0").select("source_key", "remainder"))
-    whole = F.substring("draw", 1, 6) < F.col("prefix")
-    out = (sized.join(small(plan.join(prefixes, "source_key", "left")), "source_key")
-           .join(edge, "row", "left"))
-    part = F.when(F.col("prefix").isNull(), 0).when(whole, F.col("size")).otherwise(
-        F.coalesce("edge_words", F.lit(0)))
-    return out.select("doc_id", "size", "source_size", "target",
-                      (F.col("size") * F.col("epochs") + part).cast("bigint").alias("taken"), "epochs")
+    ends = _draw(sized, plan.where("remainder > 0").select("source_key", "remainder"))
+    return plan.select("source_key", "source_size", "target", "epochs").join(ends, "source_key", "left")
+
+
+def _taken(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """``sized`` with source_size, target, epochs and taken words; only rows at the edge of a draw are ordered."""
+    rows = sized.join(small(plan), "source_key")
+    at_edge = F.coalesce(F.col("draw").startswith(F.col("prefix")), F.lit(False))
+    whole = F.coalesce(F.substring("draw", 1, 6) < F.col("prefix"), F.lit(False))
+    order = Window.partitionBy("source_key").orderBy("draw", F.xxhash64("doc")).rowsBetween(Window.unboundedPreceding, -1)
+    edge = rows.where(at_edge).withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0))).withColumn(
+        "part", F.greatest(F.lit(0), F.least("size", F.col("open") - F.col("before")))).drop("before")
+    plain = rows.where(~at_edge).withColumn("part", F.when(whole, F.col("size")).otherwise(F.lit(0)))
+    return plain.unionByName(edge).withColumn(
+        "taken", (F.col("size") * F.col("epochs") + F.col("part")).cast("bigint"))
+
+
+def mix(documents: DataFrame, max_epochs: int = 3, weights: tuple[int, ...] = (1, 2, 3),
+        seed: int = SEED) -> DataFrame:
+    """Mix documents so that each source takes its share of all words.
+
+    Returns (doc_id, size, source_size, target, taken, epochs): ``size`` in words (null
+    text: 0), ``taken`` the words the mix takes from the document: ``epochs`` whole
+    repetitions plus, for the documents drawn, one more (the last drawn one gives only
+    the words that its source still lacks).  Sources in code-point order, null last,
+    weigh ``weights`` in turn.  A source's taken words equal its target rounded to a
+    word.  Reruns agree, in any layout: draws are md5 of seed, doc_id and text.
+
+    Empty texts take 0 words; repeated rows are separate documents; an empty table
+    gives no rows; a null doc_id draws by its text.  Long texts count whole.  Other columns are ignored.
+    """
+    sized = keep(_sized(documents.select("doc_id", "text", "source"), seed)
+                 .withColumn("doc", F.struct("doc.doc_id")), "mix-sizes")
+    return _taken(sized, _plan(sized, max_epochs, weights)).select(
+        "doc.doc_id", "size", "source_size", "target", "taken", "epochs")
+
+
+def mix_documents(documents: DataFrame, max_epochs: int = 3, weights: tuple[int, ...] = (1, 2, 3),
+                  seed: int = SEED) -> DataFrame:
+    """The documents, columns unchanged, with what ``mix`` says of each: size, source_size, target, taken, epochs.
+
+    Texts are read in two passes and never shuffled.  Columns of the documents with one of these five
+    names are replaced; nulls, repeated rows and empty tables as in ``mix``.
+    """
+    sized = _sized(documents, seed)
+    plan = _plan(keep(sized.drop("doc"), "mix-sizes"), max_epochs, weights)
+    new = ["size", "source_size", "target", "taken", "epochs"]
+    return _taken(sized, plan).select(*[F.col(f"doc.`{c}`") for c in documents.columns if c not in new], *new)

@@ -104,7 +104,7 @@ QUERIES = {
 MIXING_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
     CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS sk,
-    md5('42|' || coalesce(CAST(doc_id AS VARCHAR), md5(text), 'null')) AS draw FROM documents),
+    md5('42|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || coalesce(md5(text), 'null')) AS draw FROM documents),
 s0 AS (SELECT sk, CAST(sum(size) AS BIGINT) AS source_size,
     1 + (row_number() OVER (ORDER BY sk) - 1) % 3 AS weight FROM d GROUP BY sk),
 s1 AS (SELECT *, 3 * source_size AS cap, row_number() OVER o AS pos,

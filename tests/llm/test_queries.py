@@ -13,7 +13,7 @@ from roadprint.llm import decontam, pii, simhash, toxicity
 from roadprint.llm.common import table
 
 SF = "/root/testdata/sf0.001"
-NAMES = [f"op{n}_" for n in range(1, 11)]
+NAMES = [f"op{n}_" for n in range(1, 14)]
 
 
 def test_every_operator_is_registered():
@@ -21,17 +21,17 @@ def test_every_operator_is_registered():
     assert all(sum(n.startswith(p) for n in names) == 1 for p in NAMES) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op2_substrings", "op5_mixing", "op7_warc"])
+@pytest.mark.parametrize("name", ["op2_substrings", "op5_mixing", "op7_warc", "op11_lexical"])
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t)}.parquet')")
     df = entry.queries()[name](spark, SF)
     res = con.execute(entry.oracle_sql()[name])
     cols = [c[0] for c in res.description]
     assert sorted(cols) == sorted(df.columns)
-    assert sorted(map(str, df.select(cols).toPandas().astype(object).itertuples(index=False, name=None))) == sorted(
-        map(str, res.df().astype(object).itertuples(index=False, name=None)))
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert sorted(map(tuple, df.select(cols).collect()), key=key) == sorted(res.fetchall(), key=key)
 
 
 def test_pipeline_stages(spark):
@@ -54,6 +54,7 @@ def test_pipeline_stages(spark):
     assert pii.scan(masked).agg(F.sum("n_email") + F.sum("n_ip")).first()[0] == 0
     mixed = stage["mixing"](spark, masked, SF)
     assert at(mixed) == at(masked)
+    assert mixed.select(docs.columns).exceptAll(masked).isEmpty() and {"taken", "epochs"} < set(mixed.columns)
     assert at(corpus_pipeline.run(spark, SF)) == at(masked)
 
 
