@@ -1,7 +1,9 @@
 """The corpus pipeline: toxicity, near duplicates, decontamination, personal data, mixing.
 
 Every stage works on all documents that the one before it kept, written as Parquet and
-read again.  The first four return the columns of documents; the last returns the mix.
+read again.  The first four return the columns of documents; the last adds the mix to them:
+size, source_size, target, taken and epochs.  Null and empty texts, repeated rows and empty tables
+go through as the operators' docstrings say; columns with clashing names are carried unchanged.
 """
 
 from __future__ import annotations
@@ -33,14 +35,14 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay, each with the words that the mix takes from it."""
-    return mixing.mix(docs)
+    """All documents stay, whole, each with the words and whole repetitions that the mix takes from it."""
+    return mixing.mix_documents(docs)
 
 
 STAGES = [("toxicity", without_toxic), ("simhash", one_per_group), ("decontamination", without_benchmark),
           ("pii", redacted), ("mixing", mixed)]
 
-# Trained scores and span extraction have no SQL form; tests hold every stage against brute force.
+# Trained scores and span extraction have no SQL form; see tests/llm.
 ORACLE_SQL = None
 
 
