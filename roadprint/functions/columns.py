@@ -74,28 +74,37 @@ def dense_index(df: DataFrame, order_cols: list[str], out: str = "pos",
     return dense_index_total(df, order_cols, out, num_partitions)[0]
 
 
-def dense_index_total(df: DataFrame, order_cols: list[str], out: str = "pos",
-                      num_partitions: int | None = None) -> tuple[DataFrame, int]:
-    """0-based position of every row in the total order of ``order_cols``.
+def _ranged(df: DataFrame, order_cols: list, name: str, num_partitions: int | None) -> DataFrame:
+    """``df`` written in the order of ``order_cols``: partition ``_pid``, place ``_loc`` in it.
 
-    Built without a single-task sort: the rows are range-partitioned, sorted
-    inside each partition, numbered locally, and shifted by the sizes of the
-    earlier partitions, a joined table of one row per partition.
-    The numbered rows are written once as a table in the shared folder, so
-    both passes see the same range bounds and a lost executor recomputes
-    nothing upstream.  Returns the indexed rows and the total row count.
+    The range bounds are splitters sampled from the order columns.  Written once, so that every
+    later pass sees the same bounds and a lost executor recomputes nothing upstream.
     """
     from roadprint.session import shared_dir
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = shared_dir(spark, "dense-index")
+    path = shared_dir(spark, name)
     (df.repartitionByRange(n, *order_cols)
        .sortWithinPartitions(*order_cols)
        .withColumn("_pid", F.spark_partition_id())
        .withColumn("_loc", F.monotonically_increasing_id()
                    - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
        .write.parquet(path))
-    ranged = spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def dense_index_total(df: DataFrame, order_cols: list[str], out: str = "pos",
+                      num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """0-based position of every row in the total order of ``order_cols``.
+
+    Built without a single-task sort: the rows are range-partitioned, sorted
+    inside each partition, numbered locally, and shifted by the sizes of the
+    earlier partitions, a joined table of one row per partition.  Rows that agree in all
+    ``order_cols`` stay together in a partition: name columns that tell rows apart, or
+    count equal rows first and use ``cumulative_counts``.  Returns the indexed rows and the
+    total row count.
+    """
+    ranged = _ranged(df, order_cols, "dense-index", num_partitions)
     # one row per partition: numbered by a running sum, then joined back
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -103,3 +112,64 @@ def dense_index_total(df: DataFrame, order_cols: list[str], out: str = "pos",
     out_rows = (ranged.join(F.broadcast(offsets), "_pid")  # at most n rows
                 .withColumn(out, (F.col("_off") + F.col("_loc")).cast("bigint")).drop("_pid", "_loc", "_off"))
     return out_rows, ranged.count()
+
+
+CHUNK_ROWS = 65_536  # rows of a range partition whose counts are summed up together
+
+
+def cumulative_counts(df: DataFrame, order_cols: list[str], count: str, out: str = "before",
+                      num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``out``: the sum of ``count`` over all earlier rows in the order of ``order_cols``; and the total.
+
+    For tables with one row per distinct value and its number of occurrences: equal values are one
+    row, so ranges of any table split evenly, however often a value occurs.  Running sums are local to
+    chunks of a range partition; chunk and partition totals are summed up over small tables.
+    """
+    chunked = _ranged(df, order_cols, "cumulative-counts", num_partitions).withColumn(
+        "_chunk", F.floor(F.col("_loc") / CHUNK_ROWS))
+    past = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chunks = chunked.groupBy("_pid", "_chunk").agg(F.sum(count).alias("_n"))
+    parts = chunks.groupBy("_pid").agg(F.sum("_n").alias("_n"))
+    starts = parts.select("_pid", past(Window.orderBy("_pid")).alias("_part_off"))  # a row per partition
+    offsets = (chunks.withColumn("_chunk_off", past(Window.partitionBy("_pid").orderBy("_chunk")))
+               .join(F.broadcast(starts), "_pid")
+               .select("_pid", "_chunk", (F.col("_part_off") + F.col("_chunk_off")).alias("_off")))
+    inside = F.sum(count).over(Window.partitionBy("_pid", "_chunk").orderBy("_loc")
+                               .rowsBetween(Window.unboundedPreceding, -1))
+    rows = (chunked.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(offsets, ["_pid", "_chunk"])
+            .withColumn(out, (F.col("_off") + F.col("_inside")).cast("bigint"))
+            .drop("_pid", "_chunk", "_loc", "_off", "_inside"))
+    return rows, parts.agg(F.sum("_n")).first()[0] or 0
+
+
+BUCKET = 64  # ranks of the finest bucket of find_ranks
+COARSER = 16  # each coarser level of buckets is so many times as wide
+
+
+def find_ranks(counted: DataFrame, wanted: DataFrame, rank: str, before: str, count: str, total: int) -> DataFrame:
+    """``wanted`` joined to the row of ``counted`` that covers its ``rank``: before <= rank < before + count.
+
+    An equi-join: a row lies in the buckets that it touches on the level whose buckets are at least as
+    wide as its count, two at most; a rank looks on every level.  A bucket holds ``BUCKET`` rows at most,
+    so a value that makes up most of a table is one row in two buckets.
+    """
+    widths = [BUCKET]
+    while widths[-1] < total:
+        widths.append(widths[-1] * COARSER)
+    level = F.lit(len(widths) - 1)
+    for k in range(len(widths) - 2, -1, -1):
+        level = F.when(F.col(count) <= widths[k], F.lit(k)).otherwise(level)
+    width = F.element_at(F.array(*map(F.lit, widths)), F.col("_level") + 1).cast("bigint")
+    at = lambda c: F.floor(c / width).cast("bigint")
+    rows = counted.withColumn("_level", level).withColumn("_bucket", F.explode(F.array_distinct(F.array(
+        at(F.col(before)), at(F.col(before) + F.col(count) - 1)))))
+    asked = wanted.withColumn("_level", F.explode(F.array(*map(F.lit, range(len(widths)))))).withColumn(
+        "_bucket", at(F.col(rank)))
+    return (asked.join(rows, ["_level", "_bucket"])
+            .where((F.col(rank) >= F.col(before)) & (F.col(rank) < F.col(before) + F.col(count)))
+            .drop("_level", "_bucket"))
+
+
+def bounded(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Broadcast hint for a narrow table that is counted first; a longer one is joined plainly."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -25,35 +25,41 @@ def polar(steps: DataFrame) -> DataFrame:
     return steps.withColumn("r", F.sqrt(x * x + y * y)).withColumn("theta", F.atan2(y, x))
 
 
-def lag_zero(steps: DataFrame, cols=("x", "y"), keys=None) -> DataFrame:
-    """K3: previous value in the trip, 0.0 for the first row."""
-    w = trip_window(keys)
-    for c in cols:
-        steps = steps.withColumn(f"prev_{c}", lag0(c, w))
-    return steps
+def lag_zero(steps: DataFrame, cols=("x", "y"), keys=None, hot_rows: int | None = HOT_TRIP_ROWS,
+             segment_rows: int | None = None) -> DataFrame:
+    """K3: previous value in the trip, 0.0 for the first row; hot trips in row segments."""
+    from roadprint.operators.segments import over_trips
+    return over_trips(steps, lambda df, w: df.select("*", *[lag0(c, w).alias(f"prev_{c}") for c in cols]), 1, 0,
+                      keys, hot_rows, segment_rows)
 
 
-def speed(steps: DataFrame, keys=None) -> DataFrame:
-    """K4: displacement per step (one step = one second)."""
-    w = trip_window(keys)
-    dx = F.col("x") - lag0("x", w)
-    dy = F.col("y") - lag0("y", w)
-    return steps.withColumn("v", F.sqrt(dx * dx + dy * dy))
+def speed(steps: DataFrame, keys=None, hot_rows: int | None = HOT_TRIP_ROWS,
+          segment_rows: int | None = None) -> DataFrame:
+    """K4: displacement per step (one step = one second); hot trips in row segments."""
+    from roadprint.operators.segments import over_trips
 
+    def series(df: DataFrame, w) -> DataFrame:
+        dx, dy = F.col("x") - lag0("x", w), F.col("y") - lag0("y", w)
+        return df.withColumn("v", F.sqrt(dx * dx + dy * dy))
+    return over_trips(steps, series, 1, 0, keys, hot_rows, segment_rows)
 
-def moving_average(df: DataFrame, col: str = "v", order: int = MA_ORDER, keys=None,
-                   out: str | None = None) -> DataFrame:
+
+def moving_average(df: DataFrame, col: str = "v", order: int = MA_ORDER, keys=None, out: str | None = None,
+                   hot_rows: int | None = HOT_TRIP_ROWS, segment_rows: int | None = None) -> DataFrame:
     """Forward moving average over rows i .. i+order-1; null where the frame is short.
 
     Written as an explicit left-to-right sum of leads so that the result does
-    not depend on how an engine evaluates sliding frames.
+    not depend on how an engine evaluates sliding frames.  Hot trips go in row segments.
     """
-    w = trip_window(keys)
-    total = F.col(col)
-    for k in range(1, order):
-        total = total + F.lead(col, k).over(w)
-    complete = F.lead(col, order - 1).over(w).isNotNull() if order > 1 else F.col(col).isNotNull()
-    return df.withColumn(out or f"{col}_ma", F.when(complete, total / float(order)))
+    from roadprint.operators.segments import over_trips
+
+    def series(rows: DataFrame, w) -> DataFrame:
+        total = F.col(col)
+        for k in range(1, order):
+            total = total + F.lead(col, k).over(w)
+        complete = F.lead(col, order - 1).over(w).isNotNull() if order > 1 else F.col(col).isNotNull()
+        return rows.withColumn(out or f"{col}_ma", F.when(complete, total / float(order)))
+    return over_trips(df, series, 0, order - 1, keys, hot_rows, segment_rows)
 
 
 def _wrap_angle(c):

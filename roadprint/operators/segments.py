@@ -4,18 +4,17 @@ A trip window sends every row of a trip to one task.  Trips whose row count
 exceeds ``hot_rows`` are split off (a size check on a ``groupBy`` count with
 partial aggregation) and processed in row segments instead:
 
-1. ``step_no``: rows are grouped in step-value segments (at most
-   ``segment_rows`` distinct steps each), numbered inside the segment, and
-   shifted by the row counts of the earlier segments (a window over the small
-   per-segment count table).
+1. ``step_no``: rows get a dense position in the order of key and step (ranges between sampled
+   splitters, counts summed up over the ranges), less their trip's first.  Steps may be sparse or
+   tied: ranges follow the rows, not the step values, and ties are ordered by the other columns.
 2. Row segments of ``segment_rows`` rows by ``step_no``; each segment also
    receives the 3 rows before it and the ``order - 1`` rows after it (halo
    copies), so lags and leads inside the segment window see exactly the rows
    the trip window would.  Only the core rows are kept.
 3. Trip aggregates are partial-aggregation friendly (min, max, sum, avg,
-   stddev, counts); exact percentiles come from a global dense rank of the
-   values (``dense_index``) and equi-joins on the two ranks each percentile
-   interpolates between.  Nothing of a hot trip is ever held by one task.
+   stddev, counts); exact percentiles come from a table of distinct values with
+   cumulative counts (equal values are one row) and equi-joins on the two ranks each
+   percentile interpolates between.  Nothing of a hot trip is ever held by one task.
 
 The results equal the one-window path (checked against the same oracle SQL).
 """
@@ -25,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadprint.functions.columns import KEYS, MA_ORDER, PERCENT_LEVELS, PERCENT_NAMES, dense_index
+from roadprint.functions.columns import (HOT_TRIP_ROWS, KEYS, MA_ORDER, PERCENT_LEVELS, PERCENT_NAMES, bounded,
+                                         cumulative_counts, dense_index, find_ranks)
 
 SEGMENT_ROWS = 500_000
 BROADCAST_HOT_KEYS = 100_000
@@ -41,10 +41,12 @@ def hot_trip_keys(steps: DataFrame, hot_rows: int, keys=None) -> DataFrame:
 def split_hot(steps: DataFrame, hot_rows: int, keys=None):
     """(normal steps, hot steps or None when no trip is hot).
 
-    One count job sizes the hot key table (at most total_rows / hot_rows keys);
-    it is broadcast only below a checked size.
+    A table of no more than ``hot_rows`` rows has no hot trip.  Else one count job sizes the hot
+    key table (at most total_rows / hot_rows keys); it is broadcast only below a checked size.
     """
     keys = keys or KEYS
+    if steps.count() <= hot_rows:
+        return steps, None
     hot = hot_trip_keys(steps, hot_rows, keys)
     n_hot = hot.limit(BROADCAST_HOT_KEYS + 1).count()
     if n_hot == 0:
@@ -54,21 +56,30 @@ def split_hot(steps: DataFrame, hot_rows: int, keys=None):
     return steps.join(hot, keys, "left_anti"), steps.join(hot, keys, "left_semi")
 
 
-def number_steps(hot: DataFrame, segment_rows: int, keys=None) -> DataFrame:
-    """1-based ``step_no`` of every row of its trip without a per-trip window."""
+def dense_numbers(rows: DataFrame, order: list[str], keys=None, out: str = "step_no") -> DataFrame:
+    """1-based number ``out`` of every row of its trip in the order given, without a per-trip window."""
+    keys = keys or KEYS
+    placed = dense_index(rows, [*keys, *order], "_pos")
+    first = bounded(placed.groupBy(*keys).agg(F.min("_pos").alias("_first")), BROADCAST_HOT_KEYS)
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}")) for c in keys]
+    return (placed.alias("d").join(first.alias("f"), same).select("d.*", "f._first")
+            .withColumn(out, (F.col("_pos") - F.col("_first") + 1).cast("bigint")).drop("_pos", "_first"))
+
+
+def number_steps(hot: DataFrame, keys=None) -> DataFrame:
+    """1-based ``step_no`` of every row of hot trips; tied steps in the order of the other columns."""
+    keys = keys or KEYS
+    return dense_numbers(hot, ["step", *[c for c in hot.columns if c not in {*keys, "step"}]], keys)
+
+
+def number_rows(rows: DataFrame, order: list[str], out: str = "step", keys=None,
+                hot_rows: int | None = HOT_TRIP_ROWS) -> DataFrame:
+    """1-based number ``out`` of every row of its trip: one window, but for hot trips."""
     keys = keys or KEYS
-    df = hot.withColumn("_vseg", F.floor(F.col("step") / segment_rows).cast("bigint"))
-    counts = df.groupBy(*keys, "_vseg").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_vseg").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_vseg",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy(*keys, "_vseg").orderBy("step"))
-    # A null step has a segment of its own, placed first as the trip window places it.
-    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"o.{c}")) for c in keys + ["_vseg"]]
-    numbered = df.withColumn("_local", local).alias("d").join(offsets.alias("o"), same)
-    return (numbered.select("d.*", "o._off")
-              .withColumn("step_no", (F.col("_off") + F.col("_local")).cast("bigint"))
-              .drop("_vseg", "_off", "_local"))
+    normal, hot = (rows, None) if hot_rows is None else split_hot(rows, hot_rows, keys)
+    numbered = normal.withColumn(out, F.row_number().over(
+        Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+    return numbered if hot is None else numbered.unionByName(dense_numbers(hot, order, keys, out))
 
 
 def with_halos(df: DataFrame, segment_rows: int, back: int, ahead: int) -> DataFrame:
@@ -100,7 +111,7 @@ def segmented_kinematics(hot: DataFrame, smoothed: bool = False, order: int = MA
     if segment_rows < max(3, ahead):
         raise ValueError("segment_rows must cover the halo")
     extra = [c for c in hot.columns if c not in set(keys) | {"step", "x", "y"}]
-    df = with_halos(number_steps(hot, segment_rows, keys), segment_rows, 3, ahead)
+    df = with_halos(number_steps(hot, keys), segment_rows, 3, ahead)
     w = Window.partitionBy(*keys, "_seg").orderBy("step_no")
     kin = kinematics_frame(df, w, smoothed, order, wrap, keys, extra + ["_core", "_seg"],
                            with_prev=internal)
@@ -131,6 +142,23 @@ def segmented_accel_events(hot: DataFrame, smoothed: bool = False, keys=None,
     return summarise_events(k, keys)
 
 
+def over_trips(steps: DataFrame, series, back: int, ahead: int, keys=None, hot_rows: int | None = HOT_TRIP_ROWS,
+               segment_rows: int | None = None) -> DataFrame:
+    """``series(steps, window)`` over every trip, where it looks ``back`` rows back and ``ahead`` rows on at most.
+
+    A hot trip's windows are its row segments with halos.  A lag's default at the trip's first row holds
+    there too: the first segment has no rows before it.
+    """
+    keys = keys or KEYS
+    window = lambda *more: Window.partitionBy(*keys, *more)
+    normal, hot = (steps, None) if hot_rows is None else split_hot(steps, hot_rows, keys)
+    out = series(normal, window().orderBy("step"))
+    if hot is None:
+        return out
+    rows = with_halos(number_steps(hot, keys), max(segment_rows or SEGMENT_ROWS, back, ahead), back, ahead)
+    return out.unionByName(series(rows, window("_seg").orderBy("step_no")).where("_core").select(out.columns))
+
+
 def split_kinematics(steps: DataFrame, smoothed: bool, order: int, wrap: bool, keys,
                      hot_rows: int, segment_rows: int | None, with_prev: bool = False) -> DataFrame:
     from roadprint.operators.kinematics import kinematics
@@ -156,25 +184,26 @@ def ranked_percentiles(kin: DataFrame, names: list[str], keys=None) -> DataFrame
     long = (kin.select(*keys, F.explode(pairs).alias("e"))
                .select(*keys, F.col("e.s").alias("s"), F.col("e.val").alias("val"))
                .where(F.col("val").isNotNull()))
-    ranked = dense_index(long, keys + ["s", "val"], "_g")
-    stats = ranked.groupBy(*keys, "s").agg(F.min("_g").alias("_start"),
-                                           F.count(F.lit(1)).alias("_n"))
+    counted, total = cumulative_counts(long.groupBy(*keys, "s", "val").agg(F.count(F.lit(1)).alias("_times")),
+                                       [*keys, "s", "val"], "_times", "_before")
+    stats = counted.groupBy(*keys, "s").agg(F.min("_before").alias("_start"), F.sum("_times").alias("_n"))
     levels = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(n).alias("pn"))
                        for p, n in zip(PERCENT_LEVELS, PERCENT_NAMES)])
     lv = (stats.select(*keys, "s", "_start", "_n", F.explode(levels).alias("l"))
                .withColumn("_pos", (F.col("_n") - 1).cast("double") * F.col("l.p"))
                .withColumn("_lo", F.floor("_pos").cast("bigint"))
-               .withColumn("_hi", F.ceil("_pos").cast("bigint")))
-    vals = ranked.select("_g", "val")
-    lo = vals.select(F.col("_g").alias("_glo"), F.col("val").alias("_vlo"))
-    hi = vals.select(F.col("_g").alias("_ghi"), F.col("val").alias("_vhi"))
-    j = (lv.withColumn("_glo", F.col("_start") + F.col("_lo"))
-           .withColumn("_ghi", F.col("_start") + F.col("_hi"))
-           .join(lo, "_glo").join(hi, "_ghi"))
+               .withColumn("_hi", F.ceil("_pos").cast("bigint"))
+               .withColumn("_end", F.explode(F.array(F.struct(F.lit(False).alias("upper"), F.col("_lo").alias("r")),
+                                                     F.struct(F.lit(True).alias("upper"), F.col("_hi").alias("r")))))
+               .withColumn("_rank", F.col("_start") + F.col("_end.r")))
+    end = lambda upper: F.max(F.when(F.col("_end.upper") == upper, F.col("val")))
+    j = (find_ranks(counted.select("val", "_before", "_times"), lv, "_rank", "_before", "_times", total)
+         .groupBy(*keys, "s", F.col("l.pn").alias("pn"), "_pos", "_lo", "_hi")
+         .agg(end(False).alias("_vlo"), end(True).alias("_vhi")))
     pos, l_, h_ = F.col("_pos"), F.col("_lo"), F.col("_hi")
     value = (F.when((h_ == l_) | (F.col("_vlo") == F.col("_vhi")), F.col("_vlo"))
               .otherwise((h_ - pos) * F.col("_vlo") + (pos - l_) * F.col("_vhi")))
-    j = j.select(*keys, F.concat(F.col("s"), F.lit("_"), F.col("l.pn")).alias("_name"),
+    j = j.select(*keys, F.concat(F.col("s"), F.lit("_"), F.col("pn")).alias("_name"),
                  value.alias("_v"))
     return j.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_v"))).alias(n)
                                   for n in names])

@@ -56,6 +56,8 @@ def kin(spark, sf_dir, smoothed=False, adapter="events"):
     return kinematics.kinematics(steps(spark, sf_dir, adapter), smoothed=smoothed)
 
 
+SPLIT_HOT_ROWS, SPLIT_SEGMENT_ROWS = 60, 12  # small, so that the split path runs on the test tables
+
 KIN_COLS = ["r", "theta", "v", "a", "cent_acc", "ang_vel", "tan_acc", "jerk"]
 STEP_KEYS = "driver, trip, step"
 
@@ -462,6 +464,28 @@ def moving_average(spark, sf_dir):
     return final(ma.select("driver", "trip", "step", "v_ma"))
 
 
+@query("steps_split_lineitem", _with(O.steps_cte("lineitem")) + "SELECT driver, trip, step, x, y FROM steps")
+def steps_split_lineitem(spark, sf_dir):
+    """Steps numbered by dense positions wherever a trip has more than a few rows."""
+    return testdata.lineitem_steps(spark, sf_dir, hot_rows=SPLIT_HOT_ROWS)
+
+
+@query("lag_zero_split_lineitem", _with(O.steps_cte("lineitem")) + f"SELECT {STEP_KEYS}, lag(x, 1, 0.0) OVER w "
+       f"AS prev_x, lag(y, 1, 0.0) OVER w AS prev_y FROM steps {O.W}")
+def lag_zero_split_lineitem(spark, sf_dir):
+    return kinematics.lag_zero(steps(spark, sf_dir, "lineitem"), hot_rows=SPLIT_HOT_ROWS,
+                               segment_rows=SPLIT_SEGMENT_ROWS).select("driver", "trip", "step", "prev_x", "prev_y")
+
+
+@query("moving_average_split_lineitem", _with(O.steps_cte("lineitem"), O.kin_ctes(smoothed=True)) +
+       f"SELECT {STEP_KEYS}, {O.q('v', 'v_ma')} FROM kin WHERE v IS NOT NULL")
+def moving_average_split_lineitem(spark, sf_dir):
+    split = {"hot_rows": SPLIT_HOT_ROWS, "segment_rows": SPLIT_SEGMENT_ROWS}
+    sp = kinematics.speed(steps(spark, sf_dir, "lineitem"), **split)
+    ma = kinematics.moving_average(sp, "v", out="v_ma", **split).where(F.col("v_ma").isNotNull())
+    return final(ma.select("driver", "trip", "step", "v_ma"))
+
+
 @query("kinematics_lineitem", _with(O.steps_cte("lineitem"), O.kin_ctes()) +
        f"SELECT {STEP_KEYS}, " + ", ".join(O.q(c) for c in KIN_COLS) + " FROM kin")
 def kinematics_lineitem(spark, sf_dir):
@@ -498,7 +522,6 @@ _feat_query("features_v4_lineitem", features.V2, smoothed=True, adapter="lineite
 
 # The hot-trip path (segments with halos, ranked percentiles) with thresholds low
 # enough that part of the test trips take it; its oracle is the one-window SQL.
-SPLIT_HOT_ROWS, SPLIT_SEGMENT_ROWS = 60, 12
 
 
 def _split_query(name, names, smoothed, adapter):

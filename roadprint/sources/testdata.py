@@ -8,14 +8,20 @@
 
 The keys are renamed to ``driver``/``trip`` before ``step`` is numbered, so
 the numbering window and every later trip window share one partitioning and
-Spark plans a single Exchange from the scan to the trip aggregates.
+Spark plans a single Exchange from the scan to the trip aggregates.  Trips above
+``HOT_TRIP_ROWS`` rows are numbered by dense positions instead of a window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadprint.functions.columns import HOT_TRIP_ROWS
+from roadprint.operators.segments import number_rows
+
+LINE_ORDER = ["l_shipdate", "l_orderkey", "l_partkey", "l_linenumber"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -29,12 +35,10 @@ def events_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("x"),
         F.get_json_object("props", "$.k").cast("double").alias("y"),
     )
-    w = Window.partitionBy("driver", "trip").orderBy("ts", "event_id")
-    return ev.select("driver", "trip",
-                     F.row_number().over(w).cast("bigint").alias("step"), "x", "y")
+    return number_rows(ev, ["ts", "event_id"]).select("driver", "trip", "step", "x", "y")
 
 
-def lineitem_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_steps(spark: SparkSession, sf_dir: str, hot_rows: int | None = HOT_TRIP_ROWS) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("driver"),
         F.concat("l_returnflag", "l_linestatus").alias("trip"),
@@ -42,10 +46,7 @@ def lineitem_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") / 1000.0).alias("x"),
         F.col("l_quantity").alias("y"),
     )
-    w = (Window.partitionBy("driver", "trip")
-         .orderBy("l_shipdate", "l_orderkey", "l_partkey", "l_linenumber"))
-    return li.select("driver", "trip",
-                     F.row_number().over(w).cast("bigint").alias("step"), "x", "y")
+    return number_rows(li, LINE_ORDER, hot_rows=hot_rows).select("driver", "trip", "step", "x", "y")
 
 
 def monthly_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +55,7 @@ def monthly_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("driver"), F.date_format("l_shipdate", "yyyy-MM").alias("trip"),
         "l_shipdate", "l_orderkey", "l_partkey", "l_linenumber",
         (F.col("l_extendedprice") / 1000.0).alias("x"), F.col("l_quantity").alias("y"))
-    w = (Window.partitionBy("driver", "trip")
-         .orderBy("l_shipdate", "l_orderkey", "l_partkey", "l_linenumber"))
-    return li.select("driver", "trip", F.row_number().over(w).cast("bigint").alias("step"), "x", "y")
+    return number_rows(li, LINE_ORDER).select("driver", "trip", "step", "x", "y")
 
 
 ADAPTERS = {"events": events_steps, "lineitem": lineitem_steps, "monthly": monthly_steps}
