@@ -37,6 +37,8 @@ GROUP_SUFFIXES = 1 << 20  # distinct suffixes (of a block each) that a subtree s
 PREFIX_BITS = 12  # of the key, for each of the first word and the first four words
 NO_ID = np.iinfo(np.int64).max  # order of a null doc_id, which is marked beside it
 BLOCK = "block bigint, doc_ids binary, nameless binary, lengths binary, data binary, suffixes array<int>"
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
 WORDS_HELD = 500_000  # distinct words whose hashes a task remembers; then it starts afresh
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -65,27 +67,31 @@ class Hasher:
 
     def keys(self, data: bytes, lengths: np.ndarray, min_words: int):
         """(number of words per document, first word of every suffix, its document, its key, its tail)."""
-        parts, at = [], 0
-        for n in lengths.tolist():
-            parts.append(data[at:at + n].split())
-            at += n + 1
-        n_words = np.array([len(p) for p in parts], np.int64)
-        doc = np.repeat(np.arange(len(parts)), n_words)
+        raw = np.frombuffer(data, np.uint8)
+        inside = ~_SPACE[raw]
+        starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1 if len(raw) else np.zeros(0, np.int64)
+        if len(raw) and inside[0]:
+            starts = np.concatenate([[0], starts])
+        doc = np.searchsorted(np.cumsum(lengths + 1), starts, side="right")
+        n_words = np.bincount(doc, minlength=len(lengths))
         last = np.cumsum(n_words)[doc]  # one past the last word of the document of each word
-        at = np.flatnonzero(np.arange(len(doc)) + min_words <= last)
+        at = np.flatnonzero(np.arange(len(starts)) + min_words <= last)
         if not len(at):
             return n_words, at, doc[at], np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        words = self.words([w for p in parts for w in p])
+        words = self.words(data.split())
         b = np.uint64(PREFIX_BITS)
         top = np.uint64(64) - b
-        first = words[at] >> top
-        run = np.full(len(at), STEP)
+        m = len(words) - min_words + 1  # windows, those across documents too
+        run, spread = np.full(m, STEP), np.empty(m, np.uint64)
         for k in range(min_words):  # every step mixes all bits, so neither order nor repeats cancel out
-            run = (run ^ words[at + k]) * STEP
-            run ^= run >> np.uint64(32)
+            np.bitwise_xor(run, words[k:k + m], out=run)
+            np.multiply(run, STEP, out=run)
+            np.right_shift(run, np.uint64(32), out=spread)
+            np.bitwise_xor(run, spread, out=run)
             if k == min(4, min_words) - 1:
-                four = _mix(run) >> top
-        deep = _mix(run)
+                four = _mix(run[at]) >> top
+        deep = _mix(run[at])
+        first = words[at] >> top
         tail = deep & ((np.uint64(1) << (b + b)) - np.uint64(1))
         return n_words, at, doc[at], (first << top) | (four << (top - b)) | (deep >> (b + b)), tail
 
