@@ -12,6 +12,7 @@ their own position, not grouped by driver.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -124,19 +125,57 @@ def sample_entities_fleet(idx: FleetIndex, k: int = K_DRIVERS, seed: int = DEFAU
                   .select("target", "driver"))
 
 
+SKIP_BLOCK = 1024  # positions that one chain of skips covers
+
+
+def bernoulli_positions(sets: DataFrame, n: str, fraction: float, seed: int, *keys: str) -> DataFrame:
+    """``sets`` with ``pos``: each of the positions 0..n-1 of a set, kept with probability ``fraction``.
+
+    Geometric skips: between kept positions lie floor(ln u / ln(1 - fraction)) others, so the work follows the
+    kept positions.  A chain covers ``SKIP_BLOCK`` positions and starts afresh in the next block (skips have no
+    memory, so the law is the same), and is followed as an array for a few links more than expected; the
+    chains that go on after those are followed to the end of their block.
+    """
+    if not 0.0 < fraction < 1.0:
+        full = sets.withColumn("pos", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))).where(F.col(n) > 0)
+        return full if fraction >= 1.0 else full.limit(0)
+    blocks = (sets.where(F.col(n) > 0)
+              .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(n) - 1) / SKIP_BLOCK))))
+              .withColumn("_size", F.least(F.lit(SKIP_BLOCK).cast("bigint"), F.col(n) - F.col("_block") * SKIP_BLOCK)))
+    scale = F.lit(math.log1p(-fraction))
+
+    def chain(acc, i):
+        u = (u32(seed, *keys, "_block", i, F.lit("g")) + F.lit(0.5)) / F.lit(float(U32))
+        at = acc["at"] + 1 + F.floor(F.log(u) / scale).cast("bigint")
+        more = acc["at"] < F.col("_size")
+        return F.struct(F.when(more, at).otherwise(acc["at"]).alias("at"),
+                        F.when(more & (at < F.col("_size")), F.concat(acc["kept"], F.array(at)))
+                        .otherwise(acc["kept"]).alias("kept"))
+
+    start = F.struct(F.lit(-1).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("kept"))
+    links = (F.floor(F.col("_size") * fraction * 2) + 4).cast("int")
+    follow = lambda n_links: F.aggregate(F.sequence(F.lit(1), n_links), start, chain)
+    short = blocks.withColumn("_chain", follow(links))
+    open_ = F.col("_chain.at") < F.col("_size")
+    kept = short.withColumn("_chain", F.when(open_, follow(F.col("_size").cast("int") + 1)).otherwise(F.col("_chain")))
+    return (kept.withColumn("_at", F.explode("_chain.kept"))
+            .withColumn("pos", F.col("_block") * SKIP_BLOCK + F.col("_at")).drop("_block", "_size", "_chain", "_at"))
+
+
 def fleet_sampled_trips(idx: FleetIndex, k: int = K_DRIVERS, fraction: float = TRIP_FRACTION,
                         seed: int = DEFAULT_SEED) -> DataFrame:
     """M5 for every target: own trips (label 1) + a Bernoulli sample of the trips of
     ``k`` drivers drawn without replacement (label 0), drawn independently per target.
 
-    The draw is evaluated on the join of (target, driver) with the driver's trips and
-    filtered in the same stage; a driver owning many trips is split by AQE's skew join.
+    The kept positions of each drawn driver's trips come from geometric skips over its dense
+    trip index, and an equi-join on positions fetches those trips only: no target meets
+    all trips of its drivers, and a driver with many trips is no hot key.
     Columns: target, driver, trip, label.
     """
-    ents = sample_entities_fleet(idx, k, seed)
-    neg = (ents.join(idx.trips.select("driver", "trip"), "driver")
-               .where(u32(seed, "target", "driver", "trip") < int(fraction * U32))
-               .select("target", "driver", "trip", F.lit(0).alias("label")))
+    drawn = sample_entities_fleet(idx, k, seed).join(idx.drivers.select("driver", "start", "n_trips"), "driver")
+    picked = bernoulli_positions(drawn, "n_trips", fraction, seed, "target", "driver")
+    neg = (picked.select("target", (F.col("start") + F.col("pos")).alias("gpos")).join(idx.trips, "gpos")
+           .select("target", "driver", "trip", F.lit(0).alias("label")))
     own = idx.trips.select(F.col("driver").alias("target"), "driver", "trip", F.lit(1).alias("label"))
     return own.unionByName(neg)
 
@@ -211,9 +250,10 @@ def fleet_labelled_steps(steps: DataFrame, k: int = K_TRIPS, seed: int = DEFAULT
                          idx: FleetIndex | None = None) -> DataFrame:
     """M6 for every target: own steps (label 1.0) + each target's re-identified draws (0.0).
 
-    Each trip is drawn about ``k * D / T`` times over all targets, so the
-    labelled step set is about twice the steps table, whatever the skew of
-    drivers.  Output: driver (= target), trip, step, x, y, label.
+    A draw picks a driver first and then one of its trips, so a trip of a driver with n
+    trips is drawn about ``k / n`` times over all targets: the labelled steps are the steps
+    table once more, and ``k`` drawn trips per driver.  Where drivers have fewer than ``k`` trips
+    that is several times the table.  Output: driver (= target), trip, step, x, y, label.
     """
     idx = idx or fleet_index(steps)
     gl = relabel_glossary(sample_pairs(idx, k, seed), offset, seed)

@@ -184,3 +184,17 @@ def fleet_entities_ctes(k: int, draws: int) -> str:
         "JOIN didx p ON p.dpos = epk.pdpos GROUP BY epk.target, p.driver),\n"
         f"ents AS (SELECT target, driver FROM (SELECT *, row_number() OVER (PARTITION BY target "
         f"ORDER BY slot) AS r FROM efirst) WHERE r <= least({k}, (SELECT d FROM nd) - 1))")
+
+
+def skip_ctes(fraction: float, block: int) -> str:
+    """After ``fleet_entities_ctes``: kept (target, driver, pos), the positions of a drawn driver's trips
+    that geometric skips keep; a chain covers ``block`` positions."""
+    scale = repr(math.log1p(-fraction))
+    at = (f"CAST(floor(ln(({h(repr(str(SEED)), 'target', 'driver', 'b', '{i}', repr('g'))} + 0.5) / {float(U32)}) "
+          f"/ CAST({scale} AS DOUBLE)) AS BIGINT)")
+    return (
+        "eb AS (SELECT e.target, e.driver, d.n_trips, unnest(range(0, (d.n_trips - 1) // "
+        f"{block} + 1)) AS b FROM ents e JOIN didx d ON d.driver = e.driver),\n"
+        f"chain AS (SELECT target, driver, b, least({block}, n_trips - b * {block}) AS size, 1 AS i, {at.format(i='1')} AS p FROM eb "
+        f"UNION ALL SELECT target, driver, b, size, i + 1, p + 1 + {at.format(i='i + 1')} FROM chain WHERE p < size),\n"
+        f"kept AS (SELECT target, driver, b * {block} + p AS pos FROM chain WHERE p < size)")

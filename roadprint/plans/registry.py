@@ -311,12 +311,12 @@ def fleet_sample_entities(spark, sf_dir):
     return sampling.sample_entities_fleet(sampling.fleet_index(steps(spark, sf_dir)), K_ENTITIES)
 
 
-@query("fleet_sampled_trips", _with(EV, O.fleet_entities_ctes(sampling.K_DRIVERS,
-                                                               40 * sampling.K_DRIVERS)) +
+@query("fleet_sampled_trips", _with(EV, O.fleet_entities_ctes(sampling.K_DRIVERS, 40 * sampling.K_DRIVERS),
+                                    O.skip_ctes(sampling.TRIP_FRACTION, sampling.SKIP_BLOCK)).replace(
+                                        "WITH ", "WITH RECURSIVE ", 1) +
        "SELECT driver AS target, driver, trip, 1 AS label FROM tidx UNION ALL "
-       "SELECT e.target, t.driver, t.trip, 0 AS label FROM ents e JOIN tidx t ON t.driver = e.driver "
-       f"WHERE {O.h(repr(str(O.SEED)), 'e.target', 't.driver', 't.trip')} < "
-       f"{O.u32_threshold(sampling.TRIP_FRACTION)}")
+       "SELECT k.target, t.driver, t.trip, 0 AS label FROM kept k JOIN didx d ON d.driver = k.driver "
+       "JOIN tidx t ON t.gpos = d.start + k.pos")
 def fleet_sampled_trips(spark, sf_dir):
     return sampling.fleet_sampled_trips(sampling.fleet_index(steps(spark, sf_dir)))
 
@@ -676,7 +676,6 @@ query("metrics_roundtrip", SQL["metrics_record"])(metrics_roundtrip)
 
 # ---------------------------------------------------------------- models L1-L10
 
-ONE_TARGET = 1   # partitions of one target's set: its own trips and K draws
 MODEL_ADAPTER = "monthly"   # many trips per driver, so both halves hold both classes
 
 
@@ -689,7 +688,7 @@ def _target_set(spark, sf_dir, version):
     labelled = materialize(sampling.fleet_labelled_trips(sampling.fleet_index(st), K)
                            .where(F.col("target") == TARGET), "target-trips")
     f = features.features_for_version(st.join(labelled.select("driver", "trip").distinct(), ["driver", "trip"],
-                                              "left_semi"), version, hot_rows=None)
+                                              "left_semi"), version)
     data = labelled.join(f, ["driver", "trip"])
     return (sampling.split_train_test(data, cols=("target", "driver", "trip", "slot")),
             features.VERSIONS[version][1])
@@ -732,21 +731,37 @@ def label_index(spark, sf_dir):
 @query("gbt_minimal", _summary_sql(where=_ONE))
 def gbt_minimal(spark, sf_dir):
     data, _ = _target_set(spark, sf_dir, 1)
-    return _summary(models.gbt_minimal(data, keep=("target", "driver", "trip", "slot"), partitions=ONE_TARGET), ["target"])
+    return _summary(models.gbt_minimal(data, keep=("target", "driver", "trip", "slot")), ["target"])
 
 
 @query("gbt_fit_score", _summary_sql(where=_ONE))
 def gbt_fit_score(spark, sf_dir):
     data, names = _target_set(spark, sf_dir, 2)
     return _summary(models.fit_score(data, names, models.gbt_pipeline(25),
-                                     keep=("target", "driver", "trip", "slot"), partitions=ONE_TARGET), ["target"])
+                                     keep=("target", "driver", "trip", "slot")), ["target"])
 
 
 @query("logistic_fit_score", _summary_sql(where=_ONE))
 def logistic_fit_score(spark, sf_dir):
     data, names = _target_set(spark, sf_dir, 1)
     return _summary(models.fit_score(data, names, models.logistic_pipeline(),
-                                     keep=("target", "driver", "trip", "slot"), partitions=ONE_TARGET), ["target"])
+                                     keep=("target", "driver", "trip", "slot")), ["target"])
+
+
+@query("fleet_logistic", _summary_sql().replace("TRUE AS train_ok", "TRUE AS optimal"))
+def fleet_logistic(spark, sf_dir):
+    """The logistic model of every driver.  ``optimal``: no slope of the training loss is left, so no other
+    coefficients have a smaller loss on the target's training rows."""
+    st = steps(spark, sf_dir, MODEL_ADAPTER)
+    data, names = fleet.fleet_training_set(st, 1, K)
+    data = sampling.split_train_test(data, cols=("target", "driver", "trip", "slot"))
+    got = models.fleet_logistic(data, names)
+    scored = materialize(got.scored, "logistic-scores")
+    flags = models.optimal(scored, ["target"]).select("target", (F.col("slope") < OPTIMAL_SLOPE).alias("optimal"))
+    return _summary(scored, ["target"]).drop("train_ok").join(flags, "target")
+
+
+OPTIMAL_SLOPE = 1e-3  # of the mean loss, in units of the feature's mean size
 
 
 def gbt_sweep_scores(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.GBT_TREES),
@@ -762,7 +777,7 @@ def gbt_sweep_scores(spark, sf_dir, versions=(1, 2, 3, 4), trees=tuple(models.GB
         v, n = args
         data, names = sets[v]
         scored = models.fit_score(data, names, models.gbt_pipeline(n),
-                                  keep=("target", "driver", "trip", "slot"), partitions=ONE_TARGET)
+                                  keep=("target", "driver", "trip", "slot"))
         return materialize(scored.withColumn("version", F.lit(v)).withColumn("num_trees", F.lit(n)), "sweep-scores")
     grid = [(v, n) for v in versions for n in trees]
     with ThreadPoolExecutor(max_workers=parallel) as pool:

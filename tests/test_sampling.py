@@ -101,3 +101,30 @@ def test_fleet_entities_exact_and_round_independent(spark):
     # asking for more than the pool gives the whole pool
     c = sampling.sample_entities_fleet(idx, k=1000)
     assert c.count() == idx.n_drivers * (idx.n_drivers - 1)
+
+
+def test_positions_by_geometric_skips_follow_the_bernoulli_law(spark):
+    """Counts and places of kept positions over many sets, small ones and ones of many blocks."""
+    sizes = [0, 1, 3, 60, 1024, 1025, 5000]
+    sets = spark.range(2100).select(F.col("id").alias("target"), F.element_at(F.array(*map(F.lit, sizes)), (
+        F.col("id") % len(sizes) + 1).cast("int")).cast("bigint").alias("n"))
+    p = 0.02
+    got = sampling.bernoulli_positions(sets, "n", p, 42, "target").collect()
+    at = {}
+    for r in got:
+        at.setdefault(r.target, []).append(r.pos)
+        assert 0 <= r.pos < r.n
+    assert all(len(v) == len(set(v)) for v in at.values())
+    for k, n in enumerate(sizes):
+        counts = [len(at.get(t, [])) for t in range(k, 2100, len(sizes))]
+        mean, sd = n * p, (n * p * (1 - p)) ** 0.5
+        assert abs(sum(counts) / len(counts) - mean) <= 4 * sd / len(counts) ** 0.5 + 1e-9
+        if n == 5000:
+            var = sum((c - mean) ** 2 for c in counts) / len(counts)
+            assert 0.75 * sd ** 2 < var < 1.3 * sd ** 2
+    places = [x for t in range(6, 2100, 7) for x in at.get(t, [])]
+    assert abs(sum(places) / len(places) - 2499.5) < 4 * 5000 / 12 ** 0.5 / len(places) ** 0.5
+    dense = sampling.bernoulli_positions(sets.where("n <= 60"), "n", 0.9, 1, "target").count()
+    assert abs(dense - 300 * 64 * 0.9) < 4 * (300 * 64 * 0.09) ** 0.5
+    assert sampling.bernoulli_positions(sets, "n", 1.0, 1, "target").count() == 300 * sum(sizes)
+    assert sampling.bernoulli_positions(sets, "n", 0.0, 1, "target").count() == 0
