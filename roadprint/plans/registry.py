@@ -843,6 +843,28 @@ def fleet_sweep(spark, sf_dir):
                          for s in ("test", "train") for n in ("positive", "negative")])
 
 
+_FOLD_KEY = O.h(repr(str(O.SEED)), "target", "driver", "trip", "slot")
+
+
+@query("fleet_kfold", _with(O.steps_cte(MODEL_ADAPTER), O.fleet_labelled_ctes(K, sampling.FIRST_FOREIGN_ID),
+                            f"folded AS (SELECT target, label, {_FOLD_KEY} % 5 AS fold FROM labelled)",
+                            "sp AS (SELECT target, label, CAST(h AS INTEGER) AS heldout_set, CASE WHEN fold = h THEN 'test' "
+                            "ELSE 'train' END AS split FROM folded, (SELECT unnest(range(0, 5)) AS h))") +
+       f"SELECT target AS driver, CAST(1.0 AS DOUBLE) AS version, 25 AS num_trees, heldout_set, {_SWEEP_COUNTS}, "
+       "TRUE AS train_ok FROM sp GROUP BY target, heldout_set")
+def fleet_kfold(spark, sf_dir):
+    """Five models per driver, each held-out row scored by the one that did not see it; a metrics record of each."""
+    data, names = fleet.fleet_training_set(steps(spark, sf_dir, MODEL_ADAPTER), 1, K)
+    scored = (fleet.fit_predict_folds(data, names).drop("driver").withColumnRenamed("target", "driver")
+              .withColumn("version", F.lit(1.0)).withColumn("num_trees", F.lit(25)))
+    record = evaluation.metrics_record(scored)
+    larger = F.greatest("train_positive_count", "train_negative_count") / (
+        F.col("train_positive_count") + F.col("train_negative_count"))
+    return record.select("driver", "version", "num_trees", "heldout_set",
+                         *[f"{s}_{n}_count" for s in ("test", "train") for n in ("positive", "negative")],
+                         (F.col("train_accuracy") >= larger - 0.005).alias("train_ok"))  # accuracies have two decimals
+
+
 @query("foreign_trips", _with(O.steps_cte(MODEL_ADAPTER)) +
        "SELECT driver AS target, half, CAST(CASE WHEN half = 1 THEN (n + 1) // 2 ELSE n // 2 END AS BIGINT) AS n, "
        "CAST(0 AS BIGINT) AS n_outside, CAST(0 AS BIGINT) AS n_mismatch FROM "
