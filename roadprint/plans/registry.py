@@ -97,6 +97,29 @@ def scan_trips_json(spark, sf_dir):
     return assembly.explode_trips(files.read_trips_json(spark, path))
 
 
+# One line in nine has a bad number, one in thirteen lacks its last field.
+_LINES = ("SELECT driver, CASE WHEN step % 9 = 0 OR step % 13 = 0 THEN 1 ELSE 0 END AS bad FROM steps")
+
+
+@query("scan_steps_rejects", _with(EV, f"l AS ({_LINES})") + "SELECT driver, count(*) AS n_lines, "
+       "count(CASE WHEN bad = 0 THEN 1 END) AS n_steps, count(CASE WHEN bad = 1 THEN 1 END) AS n_rejects FROM l GROUP BY driver")
+def scan_steps_rejects(spark, sf_dir):
+    """Step lines with malformed ones among them: each is a step or a reject."""
+    path = shared_dir(spark, "steps-dirty")
+    x = F.when(F.col("step") % 9 == 0, F.lit("12,5x")).otherwise(F.col("x").cast("string"))
+    full = F.concat_ws(",", x, "y", "driver", "trip")
+    line = F.when(F.col("step") % 13 == 0, full).otherwise(F.concat_ws(",", full, "step"))
+    steps(spark, sf_dir).select(line.alias("value")).write.text(path)
+    got = files.read_steps_checked(spark, path)
+    bad = F.when(F.col("line").startswith("12,5x,"), F.element_at(F.split("line", ","), 4)).otherwise(
+        F.element_at(F.split("line", ","), 3))
+    rows = got.rows.select(F.col("driverID").cast("bigint").alias("driver"), F.lit(0).alias("bad")).unionByName(
+        got.rejects.select(bad.cast("bigint").alias("driver"), F.lit(1).alias("bad")))
+    return rows.groupBy("driver").agg(F.count(F.lit(1)).alias("n_lines"),
+                                      F.count(F.when(F.col("bad") == 0, 1)).alias("n_steps"),
+                                      F.count(F.when(F.col("bad") == 1, 1)).alias("n_rejects"))
+
+
 @query("entity_catalogue", "SELECT DISTINCT user_id AS driver FROM events")
 def entity_catalogue(spark, sf_dir):
     return files.entity_catalogue(steps(spark, sf_dir))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,7 +58,50 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared (checkpoint) folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
+    return path
+
+
+class Scope:
+    """Written and persisted tables that live until the scope ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.held = spark, [], []
+
+    def persist(self, df):
+        """Keep ``df`` in the executors' memory and disk until the scope ends."""
+        self.held.append(df.persist())
+        return self.held[-1]
+
+    def release(self) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for df in self.held:
+            df.unpersist()
+        for path in self.paths:
+            where = hadoop.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.paths, self.held = [], []
+
+
+_SCOPES: list[Scope] = []  # the innermost last; a driver opens them one inside the other
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """The tables that operators write inside the block are deleted, and those that it persists
+    released, when the block ends, after the last reader.
+
+    Results are lazy: consume them (write, collect, count) inside the block.  Blocks nest.
+    """
+    scope = Scope(spark)
+    _SCOPES.append(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPES.remove(scope)
+        scope.release()
 
 
 def materialize(df, name: str = "table"):
