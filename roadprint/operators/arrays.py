@@ -1,4 +1,4 @@
-"""Kinematics on the array (one row per trip) layout.
+"""Kinematics on the array layouts (one row per trip, or rows of bounded size).
 
 Higher-order array functions (``transform``, ``zip_with``) replace the
 reference's Python UDFs; each derived array is bound to a column before the
@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadprint.functions.columns import KEYS, MA_ORDER
+from roadprint.functions.columns import HOT_TRIP_ROWS, KEYS, MA_ORDER
+from roadprint.operators.assembly import CHUNK_POINTS, own_points, trip_chunks
+
+BACK = 3  # points before a point that its jerk depends on
+SERIES = ["x", "y", "step", "r", "theta", "v", "a", "cent_acc", "ang_vel", "tan_acc", "jerk"]
 
 
 def _shift(col: str):
@@ -60,6 +64,23 @@ def kinematics_arrays(trips: DataFrame, smoothed: bool = False, order: int = MA_
     return df.drop("_dx", "_dy")
 
 
+def kinematics_chunks(steps: DataFrame, smoothed: bool = False, order: int = MA_ORDER, keys=None,
+                      chunk_points: int = CHUNK_POINTS, hot_rows: int | None = HOT_TRIP_ROWS) -> DataFrame:
+    """K13 / F2 for trips of any length: the series of a chunk's own points, read off the chunk with its halos.
+
+    Values that the first halo points lack neighbours for are cut off with the halo.  A smoothed series
+    ends where its trip has no whole frame left, which is inside one of the trip's last two chunks.
+    """
+    chunks = trip_chunks(steps, keys, chunk_points, BACK, order - 1 if smoothed else 0, hot_rows)
+    return own_points(kinematics_arrays(chunks, smoothed, order), SERIES)
+
+
+def polar_chunks(steps: DataFrame, keys=None, chunk_points: int = CHUNK_POINTS,
+                 hot_rows: int | None = HOT_TRIP_ROWS) -> DataFrame:
+    """F1 for trips of any length."""
+    return polar_arrays(trip_chunks(steps, keys, chunk_points, hot_rows=hot_rows))
+
+
 def explode_kinematics(karr: DataFrame, keys=None) -> DataFrame:
     """Arrays of K13 back to one row per step; smoothed series are null past their end."""
     keys = keys or KEYS

@@ -389,47 +389,47 @@ def half_split(spark, sf_dir):
        "arg_max(y, step) AS y_last, min(step) AS step_first, max(step) AS step_last "
        "FROM steps GROUP BY driver, trip")
 def trip_vectors(spark, sf_dir):
-    v = assembly.trip_vectors(steps(spark, sf_dir))
-    return v.select("driver", "trip", F.size("x").cast("bigint").alias("n_points"),
-                    F.element_at("x", 1).alias("x_first"), F.element_at("x", -1).alias("x_last"),
-                    F.element_at("y", 1).alias("y_first"), F.element_at("y", -1).alias("y_last"),
-                    F.element_at("step", 1).alias("step_first"),
-                    F.element_at("step", -1).alias("step_last"))
+    v = assembly.trip_chunks(steps(spark, sf_dir))
+    end = lambda pick, col, at: pick(F.element_at(col, at), "chunk").alias(
+        f"{col}_{'first' if at == 1 else 'last'}")
+    return v.groupBy("driver", "trip").agg(
+        F.sum("n_core").alias("n_points"), *[end(pick, col, at) for col in ("x", "y", "step")
+                                             for pick, at in ((F.min_by, 1), (F.max_by, -1))])
 
 
 @query("trip_signature", _with(EV) + "SELECT driver, trip, count(*) AS n_points, "
        + O.q("sum(x)", "sum_x") + ", " + O.q("sum(y)", "sum_y") + ", CAST(sum(step) AS BIGINT) AS sum_steps "
        "FROM steps GROUP BY driver, trip")
 def trip_signature(spark, sf_dir):
-    sig = assembly.trip_signature(steps(spark, sf_dir))
+    sig = assembly.signature_chunks(steps(spark, sf_dir))
     add = lambda acc, e: acc + e  # noqa: E731  (F4: a fold over the list)
-    return final(sig.select(
-        "driver", "trip", F.size("signature.x").cast("bigint").alias("n_points"),
-        F.aggregate("signature.x", F.lit(0.0), add).alias("sum_x"),
-        F.aggregate("signature.y", F.lit(0.0), add).alias("sum_y"),
-        F.aggregate("signature.steps", F.lit(0).cast("bigint"), add).alias("sum_steps")))
+    return final(sig.groupBy("driver", "trip").agg(
+        F.sum(F.size("signature.x")).alias("n_points"),
+        F.sum(F.aggregate("signature.x", F.lit(0.0), add)).alias("sum_x"),
+        F.sum(F.aggregate("signature.y", F.lit(0.0), add)).alias("sum_y"),
+        F.sum(F.aggregate("signature.steps", F.lit(0).cast("bigint"), add)).alias("sum_steps")))
 
 
 @query("explode_trips", SQL["scan_trips_json"])
 def explode_trips(spark, sf_dir):
-    return assembly.explode_trips(assembly.trip_vectors(steps(spark, sf_dir)))
+    return assembly.explode_chunks(assembly.trip_chunks(steps(spark, sf_dir)))
 
 
-def _kin_sql(cols, smoothed=False, where=""):
+def _kin_sql(cols, smoothed=False, where="", adapter="events"):
     sel = ", ".join(O.q(c) for c in cols)
-    return _with(EV, O.kin_ctes(smoothed)) + f"SELECT {STEP_KEYS}, {sel} FROM kin {where}"
+    return _with(O.steps_cte(adapter), O.kin_ctes(smoothed)) + f"SELECT {STEP_KEYS}, {sel} FROM kin {where}"
 
 
 @query("kinematics_arrays", _kin_sql(["x", "y"] + KIN_COLS))
 def kinematics_arrays(spark, sf_dir):
-    karr = arrays.kinematics_arrays(assembly.trip_vectors(steps(spark, sf_dir)))
+    karr = arrays.kinematics_chunks(steps(spark, sf_dir))
     return final(arrays.explode_kinematics(karr))
 
 
 @query("kinematics_arrays_smoothed", _kin_sql(["v", "a", "cent_acc", "jerk"], smoothed=True,
                                              where="WHERE v IS NOT NULL"))
 def kinematics_arrays_smoothed(spark, sf_dir):
-    karr = arrays.kinematics_arrays(assembly.trip_vectors(steps(spark, sf_dir)), smoothed=True)
+    karr = arrays.kinematics_chunks(steps(spark, sf_dir), smoothed=True)
     out = arrays.explode_kinematics(karr).where(F.col("v").isNotNull())
     return final(out.select("driver", "trip", "step", "v", "a", "cent_acc", "jerk"))
 
@@ -437,12 +437,41 @@ def kinematics_arrays_smoothed(spark, sf_dir):
 @query("polar_signature", _with(EV, O.kin_ctes()) +
        "SELECT driver, trip, step_no - 1 AS pos, " + O.q("r") + ", " + O.q("theta") + " FROM kin")
 def polar_signature(spark, sf_dir):
-    p = arrays.polar_arrays(assembly.trip_vectors(steps(spark, sf_dir)))
-    out = p.select("driver", "trip", "r", "theta", F.posexplode("r").alias("pos", "_r"))
-    return final(out.select("driver", "trip", F.col("pos").cast("bigint").alias("pos"),
+    p = arrays.polar_chunks(steps(spark, sf_dir))
+    out = p.select("driver", "trip", "first_pos", "r", "theta", F.posexplode("r").alias("pos", "_r"))
+    return final(out.select("driver", "trip", (F.col("first_pos") + F.col("pos")).alias("pos"),
                             F.col("_r").alias("r"), F.get("theta", F.col("pos")).alias("theta")))
 
 
+CHUNK = {"chunk_points": 16, "hot_rows": 40}  # small, so that trips of about 100 steps are cut
+
+
+@query("trip_chunks_lineitem", _with(O.steps_cte("lineitem"), "numbered AS (SELECT *, row_number() OVER "
+       "(PARTITION BY driver, trip ORDER BY step) - 1 AS pos FROM steps)") +
+       f"SELECT driver, trip, pos // {CHUNK['chunk_points']} AS chunk, min(pos) AS first_pos, count(*) AS n_core, "
+       "arg_min(x, pos) AS x_first, arg_max(x, pos) AS x_last, arg_min(y, pos) AS y_first, arg_max(y, pos) AS y_last, "
+       "min(step) AS step_first, max(step) AS step_last FROM numbered GROUP BY ALL")
+def trip_chunks_lineitem(spark, sf_dir):
+    c = assembly.trip_chunks(steps(spark, sf_dir, "lineitem"), **CHUNK, back=3, ahead=9)
+    c = assembly.own_points(c, ["x", "y", "step"])
+    return c.select("driver", "trip", "chunk", "first_pos", F.col("n_core").cast("bigint").alias("n_core"),
+                    *[F.element_at(col, at).alias(f"{col}_{name}") for col in ("x", "y", "step")
+                      for at, name in ((1, "first"), (-1, "last"))])
+
+
+@query("kinematics_arrays_split_lineitem", _kin_sql(["x", "y"] + KIN_COLS, adapter="lineitem"))
+def kinematics_arrays_split_lineitem(spark, sf_dir):
+    return final(arrays.explode_kinematics(arrays.kinematics_chunks(steps(spark, sf_dir, "lineitem"), **CHUNK)))
+
+
+@query("kinematics_arrays_smoothed_split_lineitem", _kin_sql(
+    ["v", "a", "cent_acc", "jerk"], smoothed=True, where="WHERE v IS NOT NULL", adapter="lineitem"))
+def kinematics_arrays_smoothed_split_lineitem(spark, sf_dir):
+    karr = arrays.kinematics_chunks(steps(spark, sf_dir, "lineitem"), smoothed=True, **CHUNK)
+    out = arrays.explode_kinematics(karr).where(F.col("v").isNotNull())
+    return final(out.select("driver", "trip", "step", "v", "a", "cent_acc", "jerk"))
+
+
 # ---------------------------------------------------------------- kinematics K1-K12
 
 

@@ -65,6 +65,19 @@ def test_windows_equal_arrays_and_shuffle(spark, trips, smoothed):
             assert close(w[c], r[c]), (c, w[c], r[c])
 
 
+@SETTINGS
+@given(trips=fleet, smoothed=st.booleans(), chunk=st.sampled_from([9, 10, 13]), hot=st.sampled_from([None, 12]))
+def test_chunked_arrays_equal_windows(spark, trips, smoothed, chunk, hot):
+    df = to_df(spark, trips)
+    win = {(r["trip"], r["step"]): r for r in kinematics.kinematics(df, smoothed=smoothed).collect()}
+    cut = arrays.kinematics_chunks(to_df(spark, trips, shuffle_seed=2), smoothed, chunk_points=chunk, hot_rows=hot)
+    arr = arrays.explode_kinematics(cut).collect()
+    assert sorted((r["trip"], r["step"]) for r in arr) == sorted(win)
+    for r in arr:
+        for c in ("r", "theta", "v", "a", "cent_acc", "ang_vel", "tan_acc", "jerk"):
+            assert close(win[(r["trip"], r["step"])][c], r[c]), c
+
+
 @SETTINGS
 @given(trips=fleet, version=st.sampled_from([2, 4]))
 def test_hot_trip_plan_equals_window_plan(spark, trips, version):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from roadprint.functions import columns
-from roadprint.operators import features, kinematics, segments
+from roadprint.operators import assembly, features, kinematics, segments
 from roadprint.sources import testdata
 
 STEPS = "driver long, trip string, step double, x double, y double"
@@ -123,3 +123,27 @@ def test_split_features_with_ties(spark):
     b = features.features_for_version(df, 4, hot_rows=50, segment_rows=40).collect()[0]
     assert a.asDict().keys() == b.asDict().keys()
     assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(a, b) if x is not None and not isinstance(x, str))
+
+
+def test_chunks_hold_a_bounded_number_of_points(spark):
+    point = lambda i: (1, "hot", float(i * i % 97), float(i % 7), i) if i % 11 else (2, None, None, 1.0, i)
+    st = spark.createDataFrame([point(i) for i in range(1, 2000)],
+                               "driver long, trip string, x double, y double, step long")
+    back, ahead, size = 3, 9, 50
+    chunks = assembly.trip_chunks(st, chunk_points=size, back=back, ahead=ahead, hot_rows=500)
+    rows = chunks.collect()
+    assert max(len(r["x"]) for r in rows) == back + size + ahead
+    assert all(len(r["x"]) == len(r["y"]) == len(r["step"]) and r["lead"] == (back if r["chunk"] else 0) for r in rows)
+    assert sum(r["n_core"] for r in rows) == 1999
+    assert {r["first_pos"] for r in rows} == {r["chunk"] * size for r in rows}
+    plain = assembly.explode_trips(assembly.trip_vectors(st))
+    own = assembly.own_points(chunks, ["x", "y", "step"])
+    assert rows_of(assembly.explode_chunks(own).select(plain.columns)) == rows_of(plain)
+
+
+def test_chunks_of_an_empty_table_and_small_chunks(spark):
+    st = spark.createDataFrame([], "driver long, trip string, step long, x double, y double, label double")
+    assert assembly.trip_chunks(st).collect() == [] and assembly.signature_chunks(st).collect() == []
+    assert "label" in assembly.trip_chunks(st).columns
+    with pytest.raises(ValueError):
+        assembly.trip_chunks(st, chunk_points=5, ahead=9)
