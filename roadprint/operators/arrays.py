@@ -82,9 +82,11 @@ def polar_chunks(steps: DataFrame, keys=None, chunk_points: int = CHUNK_POINTS,
 
 
 def explode_kinematics(karr: DataFrame, keys=None) -> DataFrame:
-    """Arrays of K13 back to one row per step; smoothed series are null past their end."""
+    """Arrays of K13 back to one row per step; smoothed series are null past their end.
+
+    The arrays are exploded as one zipped array, so a filter on a series reads the exploded rows: one
+    on an array element would be pushed below, into a condition that computes the series anew.
+    """
     keys = keys or KEYS
-    cols = ["x", "y", "r", "theta", "v", "a", "cent_acc", "ang_vel", "tan_acc", "jerk"]
-    out = karr.select(*keys, "step", *cols, F.posexplode("step").alias("pos", "_s"))
-    return out.select(*keys, F.col("_s").alias("step"),
-                      *[F.get(F.col(c), F.col("pos")).alias(c) for c in cols])
+    point = F.explode(F.arrays_zip(*[F.col(c) for c in SERIES])).alias("p")
+    return karr.select(*keys, point).select(*keys, "p.step", *[f"p.{c}" for c in SERIES if c != "step"])

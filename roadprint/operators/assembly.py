@@ -74,7 +74,9 @@ def trip_chunks(steps: DataFrame, keys=None, chunk_points: int = CHUNK_POINTS, b
                      F.when((pos < ahead) & (chunk > 0), copy(chunk - 1, False)))
     rows = (rows.withColumn("_c", F.explode(F.filter(copies, lambda c: c.isNotNull())))
             .select(*keys, "_no", "step", "x", "y", *extra, "_c.*"))
-    pts = F.array_sort(F.collect_list(F.struct("_no", "step", "x", "y")))
+    pts = F.sort_array(F.collect_list(F.struct("_no", "step", "x", "y")))
+    # A plain field of ``pts`` would be read anew for every element of the series built on it.
+    part = lambda name: F.transform("pts", lambda p: p[name]).alias(name)
     first = F.min(F.when(F.col("core"), F.col("_no")))
     grouped = rows.groupBy(*keys, "chunk").agg(
         pts.alias("pts"), first.alias("first_pos"), (first - F.min("_no")).cast("int").alias("lead"),
@@ -82,7 +84,7 @@ def trip_chunks(steps: DataFrame, keys=None, chunk_points: int = CHUNK_POINTS, b
     # The last points of a trip are copied into a chunk after it that owns none.
     return grouped.where("n_core > 0").select(
         *keys, "chunk", "first_pos", "lead", "n_core",
-        *[F.col(f"pts.{c}").alias(c) for c in ("x", "y", "step")], *extra)
+        *[part(c) for c in ("x", "y", "step")], *extra)
 
 
 def own_points(chunks: DataFrame, columns: list[str]) -> DataFrame:
