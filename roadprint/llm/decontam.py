@@ -52,6 +52,8 @@ def tile(item: list[int], text: list[int], min_tile: int = MIN_TILE) -> list[tup
         found = []
         for i, h in _window_hashes(item, item_marked, size):
             for j in at.get(h, ()):
+                if i and j and item[i - 1] == text[j - 1] and not item_marked[i - 1] and not text_marked[j - 1]:
+                    continue  # part of the longer match that starts one word before
                 k = 0
                 while (i + k < len(item) and j + k < len(text) and item[i + k] == text[j + k]
                        and not item_marked[i + k] and not text_marked[j + k]):

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -65,6 +66,14 @@ def test_tiles_are_greedy():
         assert all(p[i:i + k] == t[j:j + k] for i, j, k in got)
 
 
+def test_tiles_of_repetitive_texts_take_no_cubic_time():
+    start = time.process_time()
+    assert decontam.tile([1] * 2000, [1] * 1999) == [(0, 0, 1999)]
+    decontam.tile([1, 2] * 1000, ([1, 2] * 30 + [3]) * 60)
+    assert time.process_time() - start < 15  # extending every pair of equal windows takes minutes
+
+
+
 def test_decontamination(spark):
     item = " ".join(f"w{i}" for i in range(20))
     moved = "Start. " + " ".join(f"W{i}," for i in range(10, 20)) + " between " + " ".join(f"w{i}" for i in range(10))
