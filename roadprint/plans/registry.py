@@ -875,11 +875,13 @@ _SWEEP_COUNTS = ", ".join(f"{_cnt(f'split = {s!r} AND label = {y}')} AS {s}_{n}_
 
 @query("fleet_sweep", _summary_sql(where="").split("SELECT target, split, label, count(*)")[0] +
        "SELECT target AS driver, version, num_trees, 0 AS heldout_set, " + _SWEEP_COUNTS +
-       f" FROM sp{_GRID} GROUP BY target, version, num_trees")
+       f", TRUE AS train_ok, TRUE AS metrics_ok FROM sp{_GRID} GROUP BY target, version, num_trees")
 def fleet_sweep(spark, sf_dir):
     """Versions x tree counts for every driver, appended to the CSV metrics sink: 20 records each.
 
-    A version's input is written once and fitted once; smaller tree counts are prefixes.
+    A version's input is written once and fitted once; smaller tree counts are prefixes.  Checked of each
+    record read back: every model is at least as right on its training rows as always naming the larger
+    class, and the accuracies are those of the false positives and negatives.
     """
     path = shared_dir(spark, "fleet-sweep")
     for v in (1, 2, 3, 4):
@@ -892,7 +894,23 @@ def fleet_sweep(spark, sf_dir):
                        F.col("num_trees").cast("int").alias("num_trees"),
                        F.col("heldout_set").cast("int").alias("heldout_set"),
                        *[F.col(f"{s}_{n}_count").cast("bigint").alias(f"{s}_{n}_count")
-                         for s in ("test", "train") for n in ("positive", "negative")])
+                         for s in ("test", "train") for n in ("positive", "negative")],
+                       _train_ok().alias("train_ok"), (_accuracy_ok("test") & _accuracy_ok("train")).alias("metrics_ok"))
+
+
+def _train_ok():
+    """Whether a record's training accuracy (two decimals) is at least the share of the larger class."""
+    larger = F.greatest("train_positive_count", "train_negative_count") / (
+        F.col("train_positive_count") + F.col("train_negative_count"))
+    return F.col("train_accuracy") >= larger - 0.005
+
+
+def _accuracy_ok(split):
+    """Whether a record's accuracy (two decimals; null without rows) follows from its wrong predictions."""
+    rows = F.col(f"{split}_positive_count") + F.col(f"{split}_negative_count")
+    right = 1 - (F.col(f"{split}_fp_count") + F.col(f"{split}_fn_count")) / F.nullif(rows, F.lit(0))
+    return F.when(rows > 0, F.abs(F.col(f"{split}_accuracy") - right) < 0.0051).otherwise(
+        F.col(f"{split}_accuracy").isNull())
 
 
 _FOLD_KEY = O.h(repr(str(O.SEED)), "target", "driver", "trip", "slot")
@@ -910,11 +928,9 @@ def fleet_kfold(spark, sf_dir):
     scored = (fleet.fit_predict_folds(data, names).drop("driver").withColumnRenamed("target", "driver")
               .withColumn("version", F.lit(1.0)).withColumn("num_trees", F.lit(25)))
     record = evaluation.metrics_record(scored)
-    larger = F.greatest("train_positive_count", "train_negative_count") / (
-        F.col("train_positive_count") + F.col("train_negative_count"))
     return record.select("driver", "version", "num_trees", "heldout_set",
                          *[f"{s}_{n}_count" for s in ("test", "train") for n in ("positive", "negative")],
-                         (F.col("train_accuracy") >= larger - 0.005).alias("train_ok"))  # accuracies have two decimals
+                         _train_ok().alias("train_ok"))
 
 
 @query("foreign_trips", _with(O.steps_cte(MODEL_ADAPTER)) +
