@@ -45,3 +45,14 @@ def test_kinematics_is_one_window_operator(spark):
     plan = executed(kinematics.kinematics(st, smoothed=True, hot_rows=None))
     # the adapter numbers steps in one window; the kinematics need exactly one more
     assert len(re.findall(r"\bWindow \[", plan)) == 2, plan
+
+
+def test_draws_of_a_fleet_are_never_broadcast(spark):
+    """An exploded table counts for the planner as long as the one it came from."""
+    rows = [(d, f"t{t}") for d in range(300) for t in range(2)]
+    idx = sampling.fleet_index(spark.createDataFrame(rows, "driver long, trip string"))
+    plan = executed(sampling.sample_pairs(idx, k=200))
+    assert "BroadcastExchange" in executed(idx.trips) and "Generate explode" in plan
+    for name in re.findall(r"(?:Broadcast\w*Join) \[[^\]]*\]", plan):
+        assert "pdpos" not in name and "gpos" not in name, plan
+    assert len(re.findall(r"SortMergeJoin \[(?:pdpos|gpos)#", plan.split("== Initial Plan ==")[0])) == 2, plan
