@@ -80,3 +80,21 @@ def test_scope_ends_after_an_error(spark):
             materialize(spark.range(5).withColumn("x", F.lit(1)), "failed")
             1 / 0
     assert folder(spark) == before
+
+
+def test_one_file_a_name_and_names_listed_by_many_tasks(spark, tmp_path):
+    rows = spark.range(400).select(F.concat(F.lit("driver_"), F.col("id") % 40).alias("file"),
+                                   F.col("id").cast("string").alias("value")).repartition(8)
+    files.write_files_by(rows, "file", str(tmp_path / "set"))
+    assert len(list((tmp_path / "set").glob("*/part-*"))) == 40 and spark.read.text(str(tmp_path / "set")).count() == 400
+    got = files.catalogue_from_files(spark, str(tmp_path / "set" / "*" / "*"), use_parent=True)
+    assert sorted(int(r.driver) for r in got.collect()) == list(range(40))
+    conf = spark._jsparkSession.sparkContext().conf()  # the setting is as before
+    assert conf.get("spark.files.openCostInBytes", "4194304") == "4194304"
+    tasks = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    got.collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    widest = max(tasks.getStageInfo(s).numTasks for j in tasks.getJobIdsForGroup("listing")
+                 for s in tasks.getJobInfo(j).stageIds if tasks.getStageInfo(s))
+    assert widest >= 4  # one task before
