@@ -147,3 +147,17 @@ def test_chunks_of_an_empty_table_and_small_chunks(spark):
     assert "label" in assembly.trip_chunks(st).columns
     with pytest.raises(ValueError):
         assembly.trip_chunks(st, chunk_points=5, ahead=9)
+
+
+def test_ranks_are_looked_up_only_where_rows_lie_and_never_broadcast(spark):
+    """Counts of one put all rows in the finest buckets, however long the table; a large count opens coarser ones."""
+    rows = spark.range(5000).select(F.col("id").alias("v"), F.lit(1).cast("bigint").alias("n"))
+    counted, total, largest = columns.cumulative_counts_largest(rows, ["v"], "n", "before", 3)
+    assert (total, largest) == (5000, 1)
+    asked = spark.range(0, 5000, 7).select(F.col("id").alias("r"))
+    found = columns.find_ranks(counted, asked, "r", "before", "n", largest)
+    found.write.format("noop").mode("overwrite").save()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[_(level|bucket)", plan) and not re.search(r"Broadcast\w*Join \[_(level|bucket)", plan)
+    assert {r.r: r.v for r in found.collect()} == {i: i for i in range(0, 5000, 7)}
+    assert columns.cumulative_counts_largest(rows.withColumn("n", F.col("v")), ["v"], "n")[2] == 4999
