@@ -128,3 +128,10 @@ def test_positions_by_geometric_skips_follow_the_bernoulli_law(spark):
     assert abs(dense - 300 * 64 * 0.9) < 4 * (300 * 64 * 0.09) ** 0.5
     assert sampling.bernoulli_positions(sets, "n", 1.0, 1, "target").count() == 300 * sum(sizes)
     assert sampling.bernoulli_positions(sets, "n", 0.0, 1, "target").count() == 0
+
+
+def test_a_target_without_a_name_draws_no_labelled_trips(spark):
+    rows = [(d, f"t{t}") for d in (None, 1, 2, 3) for t in range(2)]
+    lab = sampling.fleet_labelled_trips(sampling.fleet_index(spark.createDataFrame(rows, "driver long, trip string")), k=5)
+    assert lab.where("target is null").isEmpty() and lab.where("label = 0").count() >= 3
+    assert lab.where("label = 1").count() == 6
