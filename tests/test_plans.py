@@ -56,3 +56,19 @@ def test_draws_of_a_fleet_are_never_broadcast(spark):
     for name in re.findall(r"(?:Broadcast\w*Join) \[[^\]]*\]", plan):
         assert "pdpos" not in name and "gpos" not in name, plan
     assert len(re.findall(r"SortMergeJoin \[(?:pdpos|gpos)#", plan.split("== Initial Plan ==")[0])) == 2, plan
+
+
+def test_no_set_built_from_draws_broadcasts_them(spark):
+    """Splits, folds, halves and relabelled steps join the draws by merge as well."""
+    rows = [(d, f"t{t}", s, float(s), 0.0) for d in range(300) for t in range(2) for s in range(1, 3)]
+    st = spark.createDataFrame(rows, "driver long, trip string, step long, x double, y double")
+    idx = sampling.fleet_index(st)
+    labelled = sampling.fleet_labelled_trips(idx)
+    by_row = ("target", "driver", "trip", "slot")
+    sets = {"split": sampling.split_train_test(labelled, cols=by_row), "folds": sampling.kfold(labelled, cols=by_row),
+            "steps": sampling.fleet_labelled_steps(st, idx=idx),
+            "relabelled": sampling.relabel_steps(st, sampling.relabel_glossary(sampling.sample_pairs(idx)))}
+    for name, df in sets.items():
+        plan = executed(df).split("== Initial Plan ==")[0]
+        assert len(re.findall(r"SortMergeJoin \[(?:pdpos|gpos)#", plan)) == 2, (name, plan)
+        assert not re.search(r"Broadcast\w*Join \[[^\]]*(?:pdpos|gpos)", plan), (name, plan)
