@@ -102,9 +102,9 @@ def events_from_steps(steps: DataFrame, smoothed: bool = False, keys=None,
     if hot_rows is None:
         return _events_one_window(steps, smoothed, keys)
     from roadprint.operators import segments
-    normal, hot = segments.split_hot(steps, hot_rows, keys)
+    normal, hot, n = segments.split_hot(steps, hot_rows, keys)
     out = _events_one_window(normal, smoothed, keys)
     if hot is None:
         return out
     return out.unionByName(
-        segments.segmented_accel_events(hot, smoothed, keys, segment_rows or segments.SEGMENT_ROWS))
+        segments.segmented_accel_events(hot, smoothed, keys, segment_rows or segments.SEGMENT_ROWS, n))

@@ -161,3 +161,43 @@ def test_ranks_are_looked_up_only_where_rows_lie_and_never_broadcast(spark):
     assert re.search(r"SortMergeJoin \[_(level|bucket)", plan) and not re.search(r"Broadcast\w*Join \[_(level|bucket)", plan)
     assert {r.r: r.v for r in found.collect()} == {i: i for i in range(0, 5000, 7)}
     assert columns.cumulative_counts_largest(rows.withColumn("n", F.col("v")), ["v"], "n")[2] == 4999
+
+
+def test_run_numbers_over_many_ranges(spark):
+    """Keys that go on over several ranges, end in one, or are null: the numbers of a window by key."""
+    rows = [(k, t, i) for k, t, n in ((None, "a", 90), (1, None, 5), (1, "a", 700), (1, "b", 1), (2, "a", 300), (3, "a", 40))
+            for i in range(n)]
+    rows += [(k, "c", i) for k in range(4, 60) for i in range(k % 5 + 1)]
+    random.Random(2).shuffle(rows)
+    df = spark.createDataFrame(rows, "driver long, trip string, at long").repartition(5)
+    plain = df.withColumn("no", F.row_number().over(Window.partitionBy("driver", "trip").orderBy("at")).cast("bigint"))
+    for n in (1, 4, 23):
+        got = columns.run_numbers(df, ["driver", "trip"], ["at"], "no", n)
+        assert got.columns == plain.columns and rows_of(got) == rows_of(plain)
+        assert all("driver" not in part for part, _ in windows(got))
+
+
+def test_many_hot_keys_are_not_joined(spark, monkeypatch):
+    """More hot trips than are broadcast, with most of the rows: rows are numbered and cut without a join by key."""
+    monkeypatch.setattr(segments, "BROADCAST_HOT_KEYS", 3)
+    rows = [(d, "t", float(i), float(i % 7), float(i % 5)) for d in range(8) for i in range(30 + d)]
+    rows += [(d, "u", float(i), 1.0, float(i)) for d in range(8) for i in range(4)]
+    df = spark.createDataFrame(rows, STEPS).repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for got, want in ((segments.number_rows(df, ["step"], "no", hot_rows=20), segments.number_rows(df, ["step"], "no", hot_rows=None)),
+                          (kinematics.speed(df, hot_rows=20, segment_rows=10), kinematics.speed(df, hot_rows=None))):
+            assert rows_of(got) == rows_of(want)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "LeftAnti" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_tables_are_dealt_to_tasks_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(columns, "TASK_ROWS", 20)
+    df = spark.createDataFrame([(d, "t", float(i), 1.0, 2.0) for d in range(8) for i in range(40)], STEPS)
+    got = kinematics.speed(df, hot_rows=30, segment_rows=10)
+    assert rows_of(got) == rows_of(kinematics.speed(df, hot_rows=None))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(driver#\d+L, trip#\d+, _seg#\d+L, 16\), REPARTITION_BY_NUM", plan)
