@@ -81,12 +81,15 @@ def polar_chunks(steps: DataFrame, keys=None, chunk_points: int = CHUNK_POINTS,
     return polar_arrays(trip_chunks(steps, keys, chunk_points, hot_rows=hot_rows))
 
 
-def explode_kinematics(karr: DataFrame, keys=None) -> DataFrame:
+def explode_kinematics(karr: DataFrame, keys=None, series: list[str] | None = None) -> DataFrame:
     """Arrays of K13 back to one row per step; smoothed series are null past their end.
 
     The arrays are exploded as one zipped array, so a filter on a series reads the exploded rows: one
     on an array element would be pushed below, into a condition that computes the series anew.
+    ``series``: those wanted, in order (all by default); the planner drops arrays that none of them needs, which it
+    cannot tell from the fields of a zipped array.
     """
     keys = keys or KEYS
-    point = F.explode(F.arrays_zip(*[F.col(c) for c in SERIES])).alias("p")
-    return karr.select(*keys, point).select(*keys, "p.step", *[f"p.{c}" for c in SERIES if c != "step"])
+    wanted = [c for c in series or SERIES if c != "step"]
+    point = F.explode(F.arrays_zip(*[F.col(c) for c in ["step", *wanted]])).alias("p")
+    return karr.select(*keys, point).select(*keys, "p.step", *[f"p.{c}" for c in wanted])

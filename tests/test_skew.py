@@ -201,3 +201,16 @@ def test_large_tables_are_dealt_to_tasks_by_their_rows(spark, monkeypatch):
     assert rows_of(got) == rows_of(kinematics.speed(df, hot_rows=None))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(driver#\d+L, trip#\d+, _seg#\d+L, 16\), REPARTITION_BY_NUM", plan)
+
+
+@pytest.mark.parametrize("smoothed", [False, True])
+def test_wanted_series_alone_are_computed(spark, smoothed):
+    """Series that are not asked for cost nothing; the others are as with all of them."""
+    from roadprint.operators import arrays
+    rng = random.Random(6)
+    df = spark.createDataFrame([(1, f"t{i % 3}", float(i), rng.random(), rng.random()) for i in range(130)], STEPS)
+    karr = arrays.kinematics_chunks(df, smoothed, chunk_points=16, hot_rows=20)
+    got = arrays.explode_kinematics(karr, series=["v", "jerk"])
+    assert rows_of(got) == rows_of(arrays.explode_kinematics(karr).select(got.columns))
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "sqrt" in plan and "atan2" not in plan
