@@ -23,6 +23,7 @@ node, and runs of equal keys are the leaves of one deep internal node, a repeat.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,7 @@ NO_ID = np.iinfo(np.int64).max  # order of a null doc_id, which is marked beside
 BLOCK = "block bigint, doc_ids binary, nameless binary, lengths binary, data binary, suffixes array<int>"
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-WORDS_HELD = 500_000  # distinct words whose hashes a task remembers; then it starts afresh
+WORDS_HELD = 500_000  # distinct words whose hashes a task remembers; with more it starts afresh at the next block
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,20 +51,29 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Numbers(dict):
+    """Words and their numbers; a word not met before gets the next."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Hasher:
     """Hashes words (XXH3 of their bytes) and runs of words, one word after the other."""
 
     def __init__(self):
-        self.held: dict[bytes, int] = {}
+        self.held, self.hashes = _Numbers(), np.zeros(0, np.uint64)
 
     def words(self, words: list[bytes]) -> np.ndarray:
         import xxhash
-        new = set(words).difference(self.held)
-        if len(self.held) + len(new) > WORDS_HELD:
-            self.held = {}
-            new = set(words)
-        self.held.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-        return np.fromiter(map(self.held.__getitem__, words), np.uint64, len(words))
+        if len(self.held) > WORDS_HELD:
+            self.held, self.hashes = _Numbers(), np.zeros(0, np.uint64)
+        number = np.fromiter(map(self.held.__getitem__, words), np.int64, len(words))
+        if len(self.held) > len(self.hashes):  # numbers follow the order of insertion
+            new = map(xxhash.xxh3_64_intdigest, islice(self.held, len(self.hashes), None))
+            self.hashes = np.concatenate([self.hashes, np.fromiter(new, np.uint64, len(self.held) - len(self.hashes))])
+        return self.hashes[number]
 
     def keys(self, data: bytes, lengths: np.ndarray, min_words: int):
         """(number of words per document, first word of every suffix, its document, its key, its tail)."""

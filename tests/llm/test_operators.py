@@ -494,3 +494,14 @@ def test_tokens_piece_model(spark):
     d = docs(spark, [(1, "Hello there, world", "s"), (2, "", "s"), (3, None, "s")])
     got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(d, path).collect()}
     assert got == {1: len(sp.encode("Hello there, world")), 2: 0, 3: 0}
+
+
+def test_op2_words_keep_small_numbers_and_their_hashes(monkeypatch):
+    """A word's hash is looked up by its number; beyond the limit a hasher starts afresh and hashes alike."""
+    import xxhash
+    monkeypatch.setattr(substrings, "WORDS_HELD", 6)
+    hasher = substrings.Hasher()
+    for words in ([b"a", b"b", b"a"], [], [b"b", b"c", b"\xff", b"c"], [b"%d" % i for i in range(9)], [b"a", b"8", b"a"]):
+        assert hasher.words(words).tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+        assert sorted(hasher.held.values()) == list(range(len(hasher.held)))
+    assert set(hasher.held) == {b"a", b"8"}
