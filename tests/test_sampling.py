@@ -135,3 +135,26 @@ def test_a_target_without_a_name_draws_no_labelled_trips(spark):
     lab = sampling.fleet_labelled_trips(sampling.fleet_index(spark.createDataFrame(rows, "driver long, trip string")), k=5)
     assert lab.where("target is null").isEmpty() and lab.where("label = 0").count() >= 3
     assert lab.where("label = 1").count() == 6
+
+
+def test_skips_are_those_of_the_plain_chain_and_computed_once(spark):
+    import hashlib
+    import math
+    p, sizes = 0.02, [1, 30, 84, 1024, 1025, 3000]
+
+    def chain(target, n):
+        for block in range(-(-n // sampling.SKIP_BLOCK)):
+            size, at, i = min(sampling.SKIP_BLOCK, n - block * sampling.SKIP_BLOCK), -1, 0
+            while at < size:
+                i += 1
+                u = (int(hashlib.md5(f"42|{target}|{block}|{i}|g".encode()).hexdigest()[:8], 16) + 0.5) / 2 ** 32
+                at += 1 + math.floor(math.log(u) / math.log1p(-p))
+                if at < size:
+                    yield target, block * sampling.SKIP_BLOCK + at
+
+    sets = [(t, sizes[t % len(sizes)]) for t in range(60)]
+    df = sampling.bernoulli_positions(spark.createDataFrame(sets, "target long, n long"), "n", p, 42, "target")
+    got = sorted((r.target, r.pos) for r in df.collect())
+    assert got == sorted(x for t, n in sets for x in chain(t, n))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" in plan and not [x for x in plan.splitlines() if "Filter " in x and "aggregate(" in x]
