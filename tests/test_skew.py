@@ -214,3 +214,39 @@ def test_wanted_series_alone_are_computed(spark, smoothed):
     assert rows_of(got) == rows_of(arrays.explode_kinematics(karr).select(got.columns))
     plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "sqrt" in plan and "atan2" not in plan
+
+
+def test_only_trips_over_ranges_are_ranked_over_tasks(spark, monkeypatch):
+    """Every value of every trip was a row of its own, counted, sorted, written and looked up over all tasks."""
+    rng = random.Random(5)
+    rows = [(d, f"t{t}" if t else None, float(s), round(rng.random() * 20, 1), float(rng.randrange(4)))
+            for d in range(30) for t in range(3) for s in range(rng.choice([1, 3, 30, 60]))]
+    rows += [(99, "long", float(s), float(s % 7), 0.0) for s in range(4000)]  # over several ranges
+    st = spark.createDataFrame(rows, STEPS)
+    ranked, real = [], segments._ranked_over_tasks
+
+    def over_tasks(kin, *args):
+        ranked.extend((r.driver, r.trip) for r in kin.select("driver", "trip").distinct().collect())
+        return real(kin, *args)
+    monkeypatch.setattr(segments, "_ranked_over_tasks", over_tasks)
+    for version in (2, 4):
+        ranked.clear()
+        want = {(r.driver, r.trip): r for r in features.features_for_version(st, version, hot_rows=None).collect()}
+        got = {(r.driver, r.trip): r for r in features.features_for_version(st, version, hot_rows=20, segment_rows=12).collect()}
+        assert want.keys() == got.keys() and (99, "long") in ranked and len(ranked) <= 2 * 8
+        for key, row in want.items():
+            if key[1] is not None:  # trips without a name are not joined to their percentiles
+                assert all(x == y or (x is not None and not isinstance(x, str) and abs(x - y) < 1e-9) for x, y in zip(row, got[key])), key
+
+
+def test_percentiles_of_finished_trips_are_those_of_spark(spark):
+    """Undefined values are left out, NaN is above all others; a series without values has none."""
+    odd = [None, float("nan"), -0.0, 0.0, 1.5, -2.0, -2.0, 7.0]
+    rng = random.Random(6)
+    rows = [(d, "t", s + 1, *(rng.choice(odd if d % 4 else [None]) for _ in range(5))) for d in range(200) for s in range(rng.randrange(1, 12))]
+    kin = spark.createDataFrame(rows, "driver long, trip string, step_no long, v double, a double, ang_vel double, tan_acc double, jerk double")
+    names = features.PCT7
+    got = {r.driver: r for r in segments.ranked_percentiles(kin, names).collect()}
+    want = {r.driver: r for r in features.trip_features(kin, names).collect()}
+    text = lambda r: [None if x is None else f"{x + 0.0:.9g}" for x in r[2:]]
+    assert all(d in got and text(got[d]) == text(r) for d, r in want.items() if any(x is not None for x in r[2:]))
