@@ -98,3 +98,21 @@ def test_one_file_a_name_and_names_listed_by_many_tasks(spark, tmp_path):
     widest = max(tasks.getStageInfo(s).numTasks for j in tasks.getJobIdsForGroup("listing")
                  for s in tasks.getJobInfo(j).stageIds if tasks.getStageInfo(s))
     assert widest >= 4  # one task before
+
+
+def test_listing_many_files_packs_few_settings_and_leaves_no_checksum_files(spark, tmp_path):
+    """For every file that a task was dealt it packed all settings of Hadoop; each file written had a second one beside it."""
+    rows = spark.createDataFrame([(f"driver_{i}", "x") for i in range(40)], "file string, value string")
+    files.write_files_by(rows, "file", f"{tmp_path}/names")
+    written = [f for _, _, names in os.walk(f"{tmp_path}/names") for f in names if "part-" in f]
+    assert len(written) == 40 and not any(f.endswith(".crc") for f in written)
+    everything = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        everything.set("fs.test.secret.key", "kept")
+        settings = files._store_settings(spark, f"{tmp_path}/names/{{*_1,*_2}}/*,{tmp_path}/names/*_3/*")
+    finally:
+        everything.unset("fs.test.secret.key")
+    assert settings.size() < everything.size() / 2 and settings.get("fs.test.secret.key") == "kept"
+    assert settings.get("fs.defaultFS") == everything.get("fs.defaultFS")
+    got = files.catalogue_from_files(spark, f"{tmp_path}/names/{{*_1,*_2}}/*,{tmp_path}/names/*_3/*", use_parent=True)
+    assert sorted(r.driver for r in got.collect()) == ["1", "2", "3"]
